@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace NULLs produced by an outer join with the column's default."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    return df.withColumns({c: F.coalesce(F.col(c), v if isinstance(v, Column) else F.lit(v))
+                           for c, v in defaults.items()})
 
 
 def left_join_fill(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -38,8 +39,13 @@ def safe_div(num: Column, den: Column) -> Column:
 
 
 def round_even(c: Column, scale: int = 0) -> Column:
-    """Half-to-even rounding (the float ROUND of the source dialect)."""
-    return F.bround(c, scale)
+    """Half-to-even rounding of a float the way the source dialect does it:
+    scale the double, round half-to-even, scale back (so 2.675 -> 2.67,
+    because 2.675 * 100 is 267.49999999999997)."""
+    if scale == 0:
+        return F.bround(c, 0)
+    f = float(10 ** scale)
+    return F.bround(c * F.lit(f), 0) / F.lit(f)
 
 
 def capped_ratio(num: Column, den: Column, scale: int = 2) -> Column:

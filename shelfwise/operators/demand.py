@@ -70,7 +70,7 @@ def demand_target(t: Tables, day: Day, keys: DataFrame) -> DataFrame:
     arr = F.transform(F.col("pairs"), lambda x: x["qty"])
     n = F.size(F.col("arr"))
     out = (per_key.select(*KEY, arr.alias("arr"))
-           .withColumn("n_days", n)
+           .withColumn("n_days", n.cast("bigint"))
            .withColumn("p90_win", linear_quantile(F.array_sort("arr"), F.col("n_days"), p.cap_q))
            .withColumn("cap", F.transform("arr", lambda v: F.least(v, F.col("p90_win"))))
            .withColumn("avg_qty_ewma", ewma_last(F.col("cap"), F.col("n_days"), p.alpha))
@@ -108,9 +108,9 @@ def demand_target_sparse(t: Tables, day: Day, keys: DataFrame) -> DataFrame:
            .withColumn("avg_qty_ewma", ewma_num * F.lit(p.alpha) / F.lit(1.0 - decay ** n))
            .withColumn("m_cap", sum_cap / F.lit(float(n)))
            .withColumn("s2_cap", sum_cap2 / F.lit(float(n)) - F.col("m_cap") * F.col("m_cap"))
-           .withColumn("n_days", F.lit(n)))
+           .withColumn("n_days", F.lit(n).cast("bigint")))
     out = _targets(out, day).select(*KEY, *DEMAND_COLUMNS)
     # keys without a single sale in the window: all-zero series
     return fill_defaults(keys.select(*KEY).join(out, KEY, "left"),
-                         {"n_days": n, "p90_win": 0.0, "avg_qty_ewma": 0.0, "s2_cap": 0.0,
+                         {"n_days": F.lit(n).cast("bigint"), "p90_win": 0.0, "avg_qty_ewma": 0.0, "s2_cap": 0.0,
                           "buf_target_toc": 0.0, "buf_target_norm": 0.0})

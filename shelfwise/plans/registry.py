@@ -131,3 +131,112 @@ def q_buffer_advice(spark, sf_dir):
     return rounded(dec.decisions(t, day).select(
         *KEY, "avg_qty_ewma", "buf_target_toc", "buf_target_norm", "rec_mult_norm", "rec_mult_toc",
         "advice_norm", "advice_toc"), ["avg_qty_ewma", "rec_mult_norm", "rec_mult_toc"])
+
+
+# --- history and first init (A10-A15, A17, T8-T12) -------------------------
+
+from shelfwise.operators import history, init_buffer, rollforward  # noqa: E402
+
+
+def _init_history(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return init_buffer.InitHistory(t, day, t.buffer_calc_keys), t, day
+
+
+@query("stock_by_cluster")
+def q_stock_by_cluster(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return history.stocks_by_cluster(t, day, day.history_start, day.d)
+
+
+@query("central_stock")
+def q_central_stock(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return history.central_stock(t, day, day.history_start, day.d)
+
+
+@query("key_calendar")
+def q_key_calendar(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return h.calendar
+
+
+@query("peak_stock")
+def q_peak_stock(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return history.peak_stock(h.stock_days)
+
+
+@query("oos_days")
+def q_oos_days(spark, sf_dir):
+    h, _, day = _init_history(spark, sf_dir)
+    return (h.days().filter(F.col("out_of_stocks") == day.p.oos_label)
+            .select("date", *KEY, "out_of_stocks", "quantity_stocks", "max_qs"))
+
+
+@query("price_median")
+def q_price_median(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return rounded(h.median_price(), ["median_price"])
+
+
+@query("price_anomaly")
+def q_price_anomaly(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return rounded(h.days().select("date", *KEY, "out_of_stocks", "quantity_orders", "rate", "bad_price"),
+                   ["rate"])
+
+
+@query("exclusion_counts")
+def q_exclusion_counts(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return h.summary().select(*KEY, "days_oos_number", "days_bp_number",
+                              F.coalesce("bp_quantity_orders", F.lit(0)).alias("bp_quantity_orders"),
+                              "exclude_number")
+
+
+@query("order_sigma")
+def q_order_sigma(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return rounded(h.summary().select(*KEY, "sigma"), ["sigma"])
+
+
+@query("good_day_ewma")
+def q_good_day_ewma(spark, sf_dir):
+    h, _, _ = _init_history(spark, sf_dir)
+    return rounded(h.summary().filter(F.col("n_good") > 0)
+                   .select(*KEY, "n_good", "p90_good", "total_quantity_orders", "avg_quantity_orders"),
+                   ["p90_good", "total_quantity_orders", "avg_quantity_orders"])
+
+
+@query("first_init")
+def q_first_init(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return init_buffer.first_init(t, day, t.buffer_calc_keys)
+
+
+# --- roll-forward and rebase (T13-T15, U3) ---------------------------------
+
+@query("roll_forward")
+def q_roll_forward(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return rollforward.roll_forward(t, day, t.buffer_calc_keys, ("simulate_day",)).drop("calc_type")
+
+
+@query("rebase")
+def q_rebase(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return rollforward.roll_forward(t, day, t.buffer_calc_keys, ("recalc_day",)).drop("calc_type")
+
+
+@query("service_markers")
+def q_service_markers(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return rollforward.roll_forward(t, day, t.buffer_calc_keys).select(
+        *KEY, "calc_type", *rollforward.SERVICE_COLUMNS)
+
+
+@query("buffer_main_day")
+def q_buffer_main_day(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return rollforward.buffer_main_day(t, day, t.buffer_calc_keys)
