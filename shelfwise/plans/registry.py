@@ -240,3 +240,118 @@ def q_service_markers(spark, sf_dir):
 def q_buffer_main_day(spark, sf_dir):
     t, day = _ctx(spark, sf_dir)
     return rollforward.buffer_main_day(t, day, t.buffer_calc_keys)
+
+
+# --- allocation (T16-T19, O2, F9, F10, J13) ----------------------------------
+
+from shelfwise.operators import allocate  # noqa: E402
+
+
+def _lines(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    snap = rollforward.buffer_main_day(t, day, t.buffer_calc_keys)
+    return allocate.allocation_lines(snap, t, day), t, day
+
+
+@query("allocation_lines")
+def q_allocation_lines(spark, sf_dir):
+    lines, _, _ = _lines(spark, sf_dir)
+    return lines.select(*KEY, "deliveries_to_cluster", "volume_m3", "volume_requirement", "breach")
+
+
+@query("lane_capacity")
+def q_lane_capacity(spark, sf_dir):
+    lines, _, day = _lines(spark, sf_dir)
+    return allocate.lane_capacity(lines, day)
+
+
+@query("priority_rank")
+def q_priority_rank(spark, sf_dir):
+    lines, _, _ = _lines(spark, sf_dir)
+    return allocate.priority_rank(lines).select(*KEY, "priority")
+
+
+@query("truck_fill")
+def q_truck_fill(spark, sf_dir):
+    lines, _, day = _lines(spark, sf_dir)
+    return rounded(allocate.shipments(allocate.truck_fill(lines, day), day), ["loaded_volume"])
+
+
+@query("unmet_demand")
+def q_unmet_demand(spark, sf_dir):
+    lines, _, day = _lines(spark, sf_dir)
+    return rounded(allocate.unmet_demand(allocate.truck_fill(lines, day), day), ["loaded_volume"])
+
+
+# --- planning report (T20, A16-A21, J12, W2, W3) -----------------------------
+
+from shelfwise.operators import report  # noqa: E402
+
+
+def _report(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return report.Report(t, day)
+
+
+@query("supplies_by_cluster")
+def q_supplies_by_cluster(spark, sf_dir):
+    return _report(spark, sf_dir).supplies_by_cluster()
+
+
+@query("source_cluster_stock")
+def q_source_cluster_stock(spark, sf_dir):
+    return _report(spark, sf_dir).source_cluster_stock()
+
+
+@query("report_day_flags")
+def q_report_day_flags(spark, sf_dir):
+    return rounded(_report(spark, sf_dir).days().select(
+        "date", *KEY, "out_of_stocks", "quantity_stocks", "quantity_orders", "median_price", "rate", "bad_price"),
+        ["median_price", "rate"])
+
+
+@query("alt_stock")
+def q_alt_stock(spark, sf_dir):
+    return _report(spark, sf_dir).alt_stock()
+
+
+@query("import_on_order")
+def q_import_on_order(spark, sf_dir):
+    return _report(spark, sf_dir).import_on_order()
+
+
+@query("report_order_sigma")
+def q_report_order_sigma(spark, sf_dir):
+    return rounded(_report(spark, sf_dir).key_stats().select(*KEY, "sigma"), ["sigma"])
+
+
+@query("mean_demand_excl")
+def q_mean_demand_excl(spark, sf_dir):
+    return rounded(_report(spark, sf_dir).mean_demand_excl(), ["avg_quantity_orders"])
+
+
+@query("planning_report")
+def q_planning_report(spark, sf_dir):
+    return _report(spark, sf_dir).planning_report()
+
+
+@query("latest_state")
+def q_latest_state(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return report.latest_state(t, day)
+
+
+# --- the whole day: decision -> routed state -> shipments (T22 without writes) --
+
+@query("daily_main")
+def q_daily_main(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return rollforward.buffer_main_day(t, day, dec.calc_keys(t, day))
+
+
+@query("daily_supplies")
+def q_daily_supplies(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    snap = rollforward.buffer_main_day(t, day, dec.calc_keys(t, day))
+    lines = allocate.allocation_lines(snap, t, day)
+    return rounded(allocate.shipments(allocate.truck_fill(lines, day), day), ["loaded_volume"])
