@@ -16,7 +16,7 @@ from shelfwise.operators import decision as dec
 from shelfwise.operators import demand, keys, zones
 from shelfwise.params import DEFAULT_PARAMS, Day
 from shelfwise.schema import KEY
-from shelfwise.sources.fixtures import AS_OF, fixture_tables
+from shelfwise.sources.fixtures import AS_OF, stored_fixture_tables
 
 QUERIES: Dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,7 +29,13 @@ def query(name: str):
 
 
 def _ctx(spark, sf_dir):
-    return fixture_tables(spark, sf_dir), Day(AS_OF, DEFAULT_PARAMS)
+    return stored_fixture_tables(spark, sf_dir), Day(AS_OF, DEFAULT_PARAMS)
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate read by several later steps (reliable checkpoint
+    under spark.checkpoint.dir; the daily job writes it to the state store instead)."""
+    return df.checkpoint(eager=True)
 
 
 def rounded(df: DataFrame, cols, scale: int = 6) -> DataFrame:
@@ -249,7 +255,7 @@ from shelfwise.operators import allocate  # noqa: E402
 
 def _lines(spark, sf_dir):
     t, day = _ctx(spark, sf_dir)
-    snap = rollforward.buffer_main_day(t, day, t.buffer_calc_keys)
+    snap = _cut(rollforward.buffer_main_day(t, day, t.buffer_calc_keys))
     return allocate.allocation_lines(snap, t, day), t, day
 
 
@@ -346,12 +352,12 @@ def q_latest_state(spark, sf_dir):
 @query("daily_main")
 def q_daily_main(spark, sf_dir):
     t, day = _ctx(spark, sf_dir)
-    return rollforward.buffer_main_day(t, day, dec.calc_keys(t, day))
+    return rollforward.buffer_main_day(t, day, _cut(dec.calc_keys(t, day)))
 
 
 @query("daily_supplies")
 def q_daily_supplies(spark, sf_dir):
     t, day = _ctx(spark, sf_dir)
-    snap = rollforward.buffer_main_day(t, day, dec.calc_keys(t, day))
+    snap = _cut(rollforward.buffer_main_day(t, day, _cut(dec.calc_keys(t, day))))
     lines = allocate.allocation_lines(snap, t, day)
     return rounded(allocate.shipments(allocate.truck_fill(lines, day), day), ["loaded_volume"])

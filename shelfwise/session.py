@@ -35,11 +35,16 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "shelf
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return spark.checkpoint.dir, setting a scratch one only where it is unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not d:
-        d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if d:
+        if not current:
+            sc.setCheckpointDir(d)
+        return d
+    if current:
+        return current
+    d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir="/tmp")   # tests only: nothing was configured
+    spark.conf.set("spark.checkpoint.dir", d)
+    sc.setCheckpointDir(d)
     return d
