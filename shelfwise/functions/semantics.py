@@ -40,8 +40,8 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def round_even(c: Column, scale: int = 0) -> Column:
     """Half-to-even rounding of a float the way the source dialect does it:
-    scale the double, round half-to-even, scale back (so 2.675 -> 2.67,
-    because 2.675 * 100 is 267.49999999999997)."""
+    scale the double, round half-to-even, scale back (so 1.005 -> 1.0,
+    because 1.005 * 100 is 100.49999999999999)."""
     if scale == 0:
         return F.bround(c, 0)
     f = float(10 ** scale)
