@@ -26,9 +26,19 @@ _DEFAULTS = {
 }
 
 
-def decision_inputs(t: Tables, day: Day, demand=demand_target_sparse) -> DataFrame:
-    """One row per candidate key with every input of the decision."""
-    keys = candidate_keys(t, day)
+def decision_inputs(t: Tables, day: Day, demand=demand_target_sparse, keys: DataFrame | None = None,
+                    cut: bool = True) -> DataFrame:
+    """One row per candidate key with every input of the decision.
+
+    The key list feeds six branches (history, previous state, zones, supplies,
+    demand, the final join).  It is small (one row per key), so it is
+    materialised once (reliable checkpoint under spark.checkpoint.dir)
+    instead of re-scanning sales and state in every branch.
+    """
+    if keys is None:
+        keys = candidate_keys(t, day)
+        if cut:
+            keys = keys.checkpoint(eager=True)
     zones = zone_summary(day_zones(t, day, keys), day)
     within = supply_windows(t, day, keys).select(*KEY, "quantity_supplies_within_rt")
     df = (keys
@@ -86,9 +96,9 @@ def decide(inputs: DataFrame, day: Day) -> DataFrame:
                           "advice_toc": advice(c("rec_mult_toc"))}))
 
 
-def decisions(t: Tables, day: Day, demand=demand_target_sparse) -> DataFrame:
+def decisions(t: Tables, day: Day, demand=demand_target_sparse, cut: bool = True) -> DataFrame:
     """Full decision table of day D (calc-keys columns plus diagnostics)."""
-    return decide(decision_inputs(t, day, demand), day)
+    return decide(decision_inputs(t, day, demand, cut=cut), day)
 
 
 def calc_keys(t: Tables, day: Day) -> DataFrame:
