@@ -38,6 +38,8 @@ def decision_inputs(t: Tables, day: Day, demand=demand_target_sparse, keys: Data
     if keys is None:
         keys = candidate_keys(t, day)
         if cut:
+            from shelfwise.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(keys.sparkSession)
             keys = keys.checkpoint(eager=True)
     zones = zone_summary(day_zones(t, day, keys), day)
     within = supply_windows(t, day, keys).select(*KEY, "quantity_supplies_within_rt")
