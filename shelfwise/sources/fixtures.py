@@ -254,7 +254,8 @@ def stored_fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_
     tag = hashlib.sha1(f"{sf_dir}|{as_of}".encode()).hexdigest()[:12]
     root = f"{ensure_checkpoint_dir(spark)}/fixtures/{tag}"
     sales_t = sales_table(spark, sf_dir)
-    sales_t.repartitionByRange("date").sortWithinPartitions("date").write.mode("overwrite").parquet(
+    # (date, sku) range keys: a date holding a large share of rows still splits across files
+    sales_t.repartitionByRange("date", "sku").sortWithinPartitions("date").write.mode("overwrite").parquet(
         f"{root}/sales_tagged")
     t = fixture_tables(spark, sf_dir, as_of, sales_t=spark.read.parquet(f"{root}/sales_tagged"))
     for name in TABLE_NAMES:
@@ -262,7 +263,7 @@ def stored_fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_
         kind, cols = _LAYOUT.get(name, (None, None))
         w = df
         if kind == "sort":
-            w = df.repartitionByRange(cols).sortWithinPartitions(cols)
+            w = df.repartitionByRange(cols, "sku").sortWithinPartitions(cols)
         writer = w.write.mode("overwrite")
         if kind == "partition":
             writer = writer.partitionBy(*cols)

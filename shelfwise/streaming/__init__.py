@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The model is a daily batch workload: every window is a calendar range over
+batch tables, and days run in order through ``plans.daily``.  A new business
+date arriving as a new date partition is handled by running ``run_day`` for
+that date (a scheduler's job); there is no stream source, watermark or
+stateful stream operator to rebuild.
+"""
