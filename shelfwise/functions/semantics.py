@@ -60,3 +60,14 @@ def in_range(c: Column, lo, hi, hi_inclusive: bool = False) -> Column:
     """lo <= c < hi (or <= hi): the half-open / closed date windows."""
     upper = c <= F.lit(hi) if hi_inclusive else c < F.lit(hi)
     return (c >= F.lit(lo)) & upper
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small intermediate that several branches read.
+
+    Written under spark.checkpoint.dir (the shared folder the cluster names),
+    so a lost executor does not force recomputing the scans behind it.
+    """
+    from shelfwise.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

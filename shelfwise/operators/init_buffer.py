@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.semantics import capped_ratio, fill_defaults, in_range, round_even, safe_div
+from shelfwise.functions.semantics import capped_ratio, fill_defaults, materialize, round_even, safe_div
 from shelfwise.functions.series import ewma_last, exact_quantile
 from shelfwise.operators.demand import daily_sales
 from shelfwise.operators.history import flag_days, key_calendar, stocks_by_cluster
@@ -34,15 +34,18 @@ def article_names(t: Tables, day: Day) -> DataFrame:
 class InitHistory:
     """The PERIOD history of the first-init keys (lazy DataFrames)."""
 
-    def __init__(self, t: Tables, day: Day, calc_keys: DataFrame):
+    def __init__(self, t: Tables, day: Day, calc_keys: DataFrame, cut: bool = True):
         self.t, self.day = t, day
-        self.keys = route_keys(calc_keys, day, "first_init").select(*KEY).distinct()
-        stocks = stocks_by_cluster(t, day, day.history_start, day.d).withColumnRenamed("cluster", "cluster_to")
+        keep = materialize if cut else (lambda df: df)
+        self.keys = keep(route_keys(calc_keys, day, "first_init").select(*KEY).distinct())
+        stocks = keep(stocks_by_cluster(t, day, day.history_start, day.d)
+                      .withColumnRenamed("cluster", "cluster_to"))
         self.stocks_window = stocks  # [D-PERIOD, D], all keys
         self.stock_days = (stocks.filter(F.col("date") < F.lit(day.d))
                            .join(self.keys, KEY, "left_semi")
                            .select("date", *KEY, "quantity_stocks"))
-        self.orders = daily_sales(t, day, self.keys, day.history_start, day.d, hi_inclusive=True, nonzero=True)
+        self.orders = keep(daily_sales(t, day, self.keys, day.history_start, day.d, hi_inclusive=True,
+                                       nonzero=True))
         self.calendar = key_calendar(self.stock_days.select(*KEY).distinct(), day)
 
     def median_price(self) -> DataFrame:
