@@ -54,6 +54,8 @@ def candidate_keys(t: Tables, day: Day) -> DataFrame:
 
 def key_history(t: Tables, day: Day, keys: DataFrame | None = None) -> DataFrame:
     """Rows of state per key before D (only its existence is used downstream)."""
+    if t.key_registry is not None:
+        return registered_keys(t, day, keys)
     hist = state_rows(t, day).filter(F.col("date") < F.lit(day.d))
     if keys is not None:
         hist = hist.join(keys, KEY, "left_semi")
@@ -110,3 +112,27 @@ def lane_in_transit(t: Tables, day: Day) -> DataFrame:
                     & (F.col("shipping_date") < d) & (F.col("closing_date") > d))
             .groupBy("mp", "seller", "article_1c", "code_1c", "cluster_to")
             .agg(F.sum("quantity_supplies").cast("bigint").alias("quantity_supplies")))
+
+
+def registered_keys(t: Tables, day: Day, keys: DataFrame | None = None) -> DataFrame:
+    """Key history from the registry: one row per key whose state began before D.
+
+    Reads one row per key instead of the whole state history; ``cnt_hist`` is 1
+    (the decision only tests it against 0).
+    """
+    reg = t.key_registry.filter((F.col("id_ver") == day.p.id_ver) & (F.col("first_date") < F.lit(day.d)))
+    if keys is not None:
+        reg = reg.join(keys, KEY, "left_semi")
+    return reg.select(*KEY).distinct().withColumn("cnt_hist", F.lit(1).cast("bigint"))
+
+
+def new_registry_rows(t: Tables, day: Day, main_d: DataFrame) -> DataFrame:
+    """Keys with state on D that the registry does not know before D (first_date = D)."""
+    known = t.key_registry.filter((F.col("id_ver") == day.p.id_ver) & (F.col("first_date") < F.lit(day.d)))
+    return (main_d.select(*KEY).distinct().join(known.select(*KEY), KEY, "left_anti")
+            .select(F.lit(day.p.id_ver).alias("id_ver"), *KEY, F.lit(day.d).alias("first_date")))
+
+
+def registry_from_history(state: DataFrame) -> DataFrame:
+    """Initial registry: first state date per (id_ver, key) (map-side min)."""
+    return state.groupBy("id_ver", *KEY).agg(F.min("date").alias("first_date"))

@@ -46,3 +46,5 @@ BUFFER_SUPPLIES = _struct(
 BUFFER_MAIN_COLUMNS = [f.name for f in BUFFER_MAIN.fields]
 CALC_KEYS_COLUMNS = [f.name for f in CALC_KEYS.fields]
 BUFFER_SUPPLIES_COLUMNS = [f.name for f in BUFFER_SUPPLIES.fields]
+
+KEY_REGISTRY = _struct([("id_ver", _I)] + _KEY_FIELDS + [("first_date", _DT)])

@@ -28,6 +28,7 @@ class Tables:
     import_supplies: Optional[DataFrame] = None  # inbound orders to the central warehouse
     dimensions: Optional[DataFrame] = None       # size marks
     buffer_calc_keys: Optional[DataFrame] = None  # state: decisions per (id_ver, date, KEY)
+    key_registry: Optional[DataFrame] = None      # state: (id_ver, KEY, first_date) of every key with state
 
     def with_state(self, **kw) -> "Tables":
         return replace(self, **kw)
