@@ -37,7 +37,8 @@ class InitHistory:
     def __init__(self, t: Tables, day: Day, calc_keys: DataFrame, cut: bool = True):
         self.t, self.day = t, day
         keep = materialize if cut else (lambda df: df)
-        self.keys = keep(route_keys(calc_keys, day, "first_init").select(*KEY).distinct())
+        # calc keys are already stored (daily job) or checkpointed: no second cut here
+        self.keys = route_keys(calc_keys, day, "first_init").select(*KEY).distinct()
         stocks = keep(stocks_by_cluster(t, day, day.history_start, day.d)
                       .withColumnRenamed("cluster", "cluster_to"))
         self.stocks_window = stocks  # [D-PERIOD, D], all keys
