@@ -127,8 +127,9 @@ def held_out(mod: int, rest: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == rest, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, per_class: int) -> DataFrame:
-    """doc_id, text, label of at most ``per_class`` training rows of each class.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, rest: int, per_class: int,
+                    extra: tuple = ()) -> DataFrame:
+    """doc_id, text, label (and long columns ``extra``, null where absent) of at most ``per_class`` training rows of each class.
 
     The rows are those with the smallest hashes of doc_id, so the sample depends on
     the tables alone.  The side that is broadcast has 2 * per_class rows at most.
@@ -137,7 +138,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, re
            .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(mod, rest))
            .groupBy("doc_id").agg(F.max("label").alias("label")))
     one, two = (lab.filter(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1))
-    return documents(docs).join(F.broadcast(one.unionByName(two)), "doc_id").select("doc_id", "text", "label")
+    more = [(F.col(c).cast("long") if c in docs.columns else F.lit(None).cast("long")).alias(c) for c in extra]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
+    return rows.join(F.broadcast(one.unionByName(two)), "doc_id").select("doc_id", "text", "label", *extra)
 
 
 def sigmoid(x):

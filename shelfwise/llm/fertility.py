@@ -40,6 +40,8 @@ FLOOR = {"chars_per_token": 0.05, "byte_share": 0.05, "entropy": 0.2, "bytes_per
 WIDTH, LEAST = 6.0, 50
 #: Documents with fewer words than this are judged by the base rules alone: their measures scatter.
 MEASURED_WORDS, STEADY_WORDS = 40, 200
+#: Bands up to this number are broadcast.
+FEW_BANDS = 10_000
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, "
           "chars_per_token double, byte_share double, entropy double, bytes_per_token double")
 #: First code point of each script's block, and its name; ASCII letters are Latin.
@@ -205,7 +207,9 @@ def quality_rules(docs: DataFrame, folder: str | None = None, width: float = WID
                   .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) |
                               (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))))
     judged = ~F.col("base_failed") & (F.col("n_words") >= MEASURED_WORDS)
-    edges = bands(seen.filter(judged), width, least)
+    edges = stored(bands(seen.filter(judged), width, least))
+    if edges.count() <= FEW_BANDS:      # else a join that shuffles, with a language's rows split where they are skewed
+        edges = F.broadcast(edges)
     scatter = F.greatest(F.lit(1.0), F.sqrt(STEADY_WORDS / F.col("n_words")))
     outside = F.lit(False)
     for m in MEASURES:

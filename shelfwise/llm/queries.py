@@ -12,9 +12,40 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.decontaminate import decontaminate
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op3_positional_index)}
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.secrets import secret_scan
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.quality import quality
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.radix import repeated_bytes
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_toxicity, op3_positional_index, op4_simhash, op7_packing,
+                                   op8_secrets, op9_quality, op10_radix)}
