@@ -27,6 +27,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.linededup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.pii import personal_data
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"))
@@ -47,5 +57,5 @@ def op10_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_toxicity, op3_positional_index, op4_simhash, op7_packing,
-                                   op8_secrets, op9_quality, op10_radix)}
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_toxicity, op3_positional_index, op4_simhash, op5_line_runs,
+                                   op6_personal_data, op7_packing, op8_secrets, op9_quality, op10_radix)}
