@@ -24,11 +24,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import (WordTable, bounds_of, documents, held_out, labelled_sample, map_texts, sigmoid, sums)
 
-BUCKETS, DIM, SIZES = 1 << 16, 8, (3, 4, 5)
+BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Bound of the training sample, for each class.
 PER_CLASS = 3000
-EPOCHS, BATCH, RATE = 12, 128, 0.02
+EPOCHS, BATCH, RATE = 12, 128, 0.05
+#: Subwords in fewer documents of the sample are left out of training and add nothing to a score.
+MIN_DOCS = 10
 MOD, REST, THRESHOLD = 4, 2, 0.3
+#: Documents are long and the words that matter few, so means are small: they are scaled before the softmax.
+SCALE = 100.0
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|_-~`"
 
 
@@ -90,6 +94,11 @@ def _adam(params: list[np.ndarray]):
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
     """Joint training on (buckets, counts, label); returns each bucket's embedding times the softmax difference, and the intercept."""
+    often = np.zeros(BUCKETS, np.int64)
+    for r in rows:
+        often[r[0]] += 1
+    often = often >= MIN_DOCS
+    rows = [(b[often[b]], c[often[b]], y) for b, c, y in rows]
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     soft, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -110,11 +119,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tupl
             back = SCALE * (p @ soft.T)
             grad = np.stack([np.bincount(idx, weights=back[doc, k] * share, minlength=BUCKETS) for k in range(DIM)], 1)
             step([grad, SCALE * mean.T @ p, p.sum(0)], RATE * (1 - epoch / EPOCHS))
-    return (SCALE * embed @ (soft[:, 1] - soft[:, 0])).astype(np.float64), float(bias[1] - bias[0])
-
-
-#: Documents are long and the words that matter few, so means are small: they are scaled before the softmax.
-SCALE = 30.0
+    return np.where(often, SCALE * embed @ (soft[:, 1] - soft[:, 0]), 0.0), float(bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = MOD, rest: int = REST,
@@ -152,7 +157,7 @@ def scorer(weights: np.ndarray, intercept: float):
                 start, flat = subwords(known.new)
                 known.new.clear()
                 value[0] = np.concatenate([value[0], sums(weights[flat], start)])
-                count[0] = np.concatenate([count[0], np.diff(start)])
+                count[0] = np.concatenate([count[0], sums((weights[flat] != 0).astype(np.int64), start)])   # as in training
             total = np.add.reduceat(np.append(value[0][ids], 0.0), bounds[:-1]) * (np.diff(bounds) > 0)
             return [sigmoid(total / np.maximum(1, sums(count[0][ids], bounds)) + intercept)]
 
