@@ -85,6 +85,23 @@ def map_texts(docs: DataFrame, make: Callable, schema: str, keep: tuple = ("doc_
     return docs.select(*names).mapInArrow(run, ", ".join([*[f"{c} {kinds[c]}" for c in keep], schema]))
 
 
+def filter_texts(docs: DataFrame, make: Callable) -> DataFrame:
+    """The rows, all columns as they are, whose text passes; no shuffle.
+
+    ``make()`` runs once in a task and returns a function from a list of texts (UTF-8
+    bytes) to a list of booleans.
+    """
+    at = docs.columns.index("text")
+
+    def run(batches):
+        work = make()
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                yield part.filter(pa.array(work(texts_of(part.column(at))), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 class WordTable(dict):
     """Ids of words by order of arrival; new words wait in ``new`` until the caller has their values.
 

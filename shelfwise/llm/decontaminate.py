@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import bounds_of, documents, pieces, sums, texts_of
+from shelfwise.llm.common import bounds_of, documents, filter_texts, pieces, sums, texts_of
 
 WINDOW = 10
 #: Words of the test set that a task holds at once; beyond it, further passes.
@@ -179,3 +179,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         out = out.mapInArrow(run, ", ".join(map(" ".join, zip(RESULT, RESULT_TYPES) if number == len(blocks)
                                                 else zip(PASSED, ["long", "string", "array<long>", "array<string>"]))))
     return out
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of docs, all columns as they are, in which no window of the test set occurs."""
+    for block in item_blocks(query_items(benchmark), block_words):
+        def make(block=block):
+            phrases = Phrases(block, window)
+
+            def clean(texts):
+                items = [set() for _ in texts]
+                _search(Postings([words_of(t) for t in texts], phrases.terms), phrases, [[] for _ in texts], items)
+                return [not x for x in items]
+
+            return clean
+
+        docs = filter_texts(docs, make)
+    return docs

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import bounds_of, documents, map_texts, stored
@@ -203,15 +203,35 @@ def linked(distinct: DataFrame, radius: int = BITS, shard: int = SHARD, sample:
             .groupBy("shard").applyInArrow(shard_edges(radius), "a long, b long"))
 
 
+def grouped(distinct: DataFrame, radius: int, shard: int, sample: int) -> DataFrame:
+    """distinct, with the root fingerprint of each row's component."""
+    roots = components(linked(distinct, radius, shard, sample))
+    return distinct.join(roots, distinct.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, radius: int = BITS, shard: int = SHARD,
                     sample: int = SAMPLE) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links)."""
     seen = stored(fingerprints(docs, words))
-    distinct = stored(seen.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(linked(distinct, radius, shard, sample))
-    own = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    own = grouped(stored(seen.groupBy("fp").agg(F.min("doc_id").alias("first"))), radius, shard, sample)
     least = own.groupBy("root").agg(F.min("first").alias("component_id"))
     named = own.join(least, "root").select("fp", "component_id")
     return seen.join(named, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = SHINGLE, radius: int = BITS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
+    """docs, all columns as they are, with one row of each component: that of its smallest doc_id (a null one is
+    largest; of texts with one doc_id, that with the least hash; of equal rows, one)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    last = F.lit((1 << 63) - 1)
+    packed = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc"), F.xxhash64(text).alias("key"),
+                         F.struct(*docs.columns).alias("row"))
+    seen = map_texts(packed.select("doc", "key", F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text")),
+                     lambda: fingerprints_of(words), "fp long", keep=("doc", "key"))
+    distinct = stored(seen.groupBy("fp").agg(F.min(F.struct("doc", "key")).alias("first")))
+    winners = (grouped(distinct, radius, shard, sample).groupBy("root").agg(F.min("first").alias("first"))
+               .select("first.doc", "first.key"))
+    nth = F.row_number().over(Window.partitionBy("doc", "key").orderBy(F.lit(0)))
+    return (packed.join(winners, ["doc", "key"], "left_semi").withColumn("nth", nth).filter("nth = 1")
+            .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

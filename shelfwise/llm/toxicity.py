@@ -22,7 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import (WordTable, bounds_of, documents, held_out, labelled_sample, map_texts, sigmoid, sums)
+from shelfwise.llm.common import (WordTable, bounds_of, documents, filter_texts, held_out, labelled_sample, map_texts,
+                                  sigmoid, sums)
 
 BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Bound of the training sample, for each class.
@@ -173,3 +174,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
     return (map_texts(documents(docs), scorer(weights.astype(np.float32), intercept), "score double")
             .select("doc_id", held_out(mod, rest).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mod: int = MOD, rest: int = REST,
+                  per_class: int = PER_CLASS) -> DataFrame:
+    """The rows of docs, all columns as they are, whose score is below the threshold."""
+    weights, intercept = fit(docs, labels, "toxic", mod, rest, per_class)
+    score = scorer(weights.astype(np.float32), intercept)
+
+    def make():
+        work = score()
+        return lambda texts: work(texts)[0] < threshold
+
+    return filter_texts(docs, make)
