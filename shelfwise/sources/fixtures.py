@@ -1,14 +1,22 @@
 """Domain tables derived from the TPC-H-like test data.
 
 The test data has no sales / stock / buffer tables, so they are derived from
-``lineitem`` and its dimensions with integer arithmetic only (the same text
-is used by the DuckDB oracle in ``shelfwise.checks.oracle_sql``).  Every
-lineitem row becomes one sales row; everything else is derived from the key
-set of those sales, so all tables grow with the input.
-
-Tags per key: a = l_partkey % A (article), r = customer region (destination
+``lineitem`` and its dimensions with integer arithmetic only (the same mapping
+is written for the DuckDB oracle in ``shelfwise.checks.fixtures_sql``).  Every
+lineitem row becomes one sales row.  Stock and state rows exist on the days
+around a key's sales (``ACTIVE_BEFORE`` days before to ``ACTIVE_AFTER`` days
+after each), over all dates of the test data, so every table grows with the
+input and with its history.
+
+Tags per key: a = l_partkey (the article), r = customer region (destination
 cluster), m = l_suppkey % 3 (marketplace), s = (l_suppkey div 3) % 2 (seller).
-A = greatest(4, count(part) div 500): 4 articles up to sf0.01, 40 at sf0.1.
+g = a % 4 and a % 50 only steer branches:
+
+- g, r: brands, discounts, sparse histories (r = 4: every other day), keys
+  without history (r = 3 and g >= 2);
+- a % 50 = 7: the state has a second row for each key and day;
+  11: the article has two brands; 13: it is absent from the master;
+  17: it has two volumes; 19: its stock lies in a warehouse that the map lacks.
 """
 
 from __future__ import annotations
@@ -24,10 +32,11 @@ from shelfwise.sources.tables import Tables
 
 # --- fixed values: the test mapping ---------------------------------------
 AS_OF = dt.date(1998, 7, 1)        # business date D of the tests
-EPOCH = dt.date(1998, 1, 1)        # n = days since this date
-CAL_BEFORE, CAL_AFTER = 60, 7      # calendar D-60 .. D+7
+EPOCH = dt.date(1992, 1, 1)        # n = days since this date
+ACTIVE_BEFORE, ACTIVE_AFTER = 10, 25
 MP_NAMES = ("Ozon", "WB", "YM")    # m = 0, 1, 2
 SIZE_MARKS = ("S", "M", "L")       # a % 3 = 0, 1, 2
+TWICE, TWO_BRANDS, NO_MASTER, TWO_VOLUMES, NO_WAREHOUSE = 7, 11, 13, 17, 19   # a % 50
 # ---------------------------------------------------------------------------
 
 TAGS = ["a", "r", "m", "s"]
@@ -46,10 +55,6 @@ def _n(date_col: str = "date") -> Column:
     return F.datediff(F.col(date_col), F.lit(EPOCH))
 
 
-def _dates(lo: dt.date, hi: dt.date) -> Column:
-    return F.explode(F.sequence(F.lit(lo), F.lit(hi)))
-
-
 def _choose(idx: Column, values) -> Column:
     expr = F.lit(values[-1])
     for i in range(len(values) - 2, -1, -1):
@@ -71,15 +76,12 @@ def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    .withColumnRenamed("n_regionkey", "r")), "c_nationkey")
     supp_r = supp.join(F.broadcast(nation.withColumnRenamed("n_nationkey", "s_nationkey")
                                    .withColumnRenamed("n_regionkey", "src_region")), "s_nationkey")
-    n_articles = (_read(spark, sf_dir, "part", ["p_partkey"])
-                  .select(F.greatest(F.lit(4), F.expr("count(*) div 500")).alias("A"))
-                  .scalar())
     df = (li.join(orders, li.l_orderkey == orders.o_orderkey)
           .join(cust_r, F.col("o_custkey") == F.col("c_custkey"))
           .join(supp_r, F.col("l_suppkey") == F.col("s_suppkey"))
           .select(
               F.col("l_shipdate").cast("date").alias("date"),
-              (F.col("l_partkey") % n_articles).cast("int").alias("a"),
+              F.col("l_partkey").cast("int").alias("a"),
               F.col("r").cast("int").alias("r"),
               (F.col("l_suppkey") % 3).cast("int").alias("m"),
               (_idiv("l_suppkey", 3) % 2).cast("int").alias("s"),
@@ -108,43 +110,56 @@ def key_tags(sales_with_tags: DataFrame) -> DataFrame:
     return sales_with_tags.select(*KEY, *TAGS).distinct()
 
 
+def active_days(sales_with_tags: DataFrame) -> DataFrame:
+    """Keys with their tags on every day around their sales, each once."""
+    days = sales_with_tags.select(*KEY, *TAGS, "date").distinct()
+    around = F.sequence(F.date_sub("date", ACTIVE_BEFORE), F.date_add("date", ACTIVE_AFTER))
+    return days.withColumn("date", F.explode(around)).distinct()
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
-                   p: Params = DEFAULT_PARAMS, sales_t: DataFrame | None = None) -> Tables:
-    """All domain tables of FIXTURES.md section 3, lazily, for one test dir.
+                   p: Params = DEFAULT_PARAMS, sales_t: DataFrame | None = None,
+                   act: DataFrame | None = None) -> Tables:
+    """All domain tables, lazily, for one test dir.
 
-    ``sales_t`` (sales with tags) may be passed in when already stored.
+    ``sales_t`` (sales with tags) and ``act`` (active days) may be passed in
+    when already stored.
     """
     if sales_t is None:
         sales_t = sales_table(spark, sf_dir)
+    if act is None:
+        act = active_days(sales_t)
     k = key_tags(sales_t)
     a, r, m, s = (F.col(c) for c in TAGS)
+    g, odd = a % 4, a % 50
     n = _n()
-    cal_lo, cal_hi = as_of - dt.timedelta(CAL_BEFORE), as_of + dt.timedelta(CAL_AFTER)
-    prev = as_of - dt.timedelta(1)
 
-    article_mp = k.select(
+    milli = 7 + (a * 37 + m * 11) % 240          # unit volume in thousandths of a cubic metre
+    volume = lambda v: F.concat(F.lit("0."), F.lpad(v.cast("string"), 3, "0"))
+    master = k.filter(odd != NO_MASTER).select(
         "article_1c", "code_1c", "sku", "mp", "seller",
         F.concat(F.lit("name-A"), a).alias("name"),
-        F.when((a == 1) & (m == 2), F.lit(p.resale_brand))
+        F.when((g == 1) & (m == 2), F.lit(p.resale_brand))
          .otherwise(F.concat(F.lit("B"), a % 2)).alias("brand"),
-        F.when((a == 3) & (m == 0), 1).otherwise(0).alias("discounted"),
+        F.when((g == 3) & (m == 0), 1).otherwise(0).alias("discounted"),
         F.concat(F.lit("WC"), a).alias("warehouse_code"),
-        F.when((a == 2) & (m == 1) & (s == 1), F.lit(""))
-         .otherwise(((a * 3 + m + 1) / F.lit(32)).cast("string")).alias("volume_m3"),
-    ).distinct()
+        F.when((g == 2) & (m == 1) & (s == 1), F.lit("")).otherwise(volume(milli)).alias("volume_m3"),
+        "a", "m").distinct()
+    article_mp = (master.unionByName(master.filter(odd == TWO_BRANDS).withColumn("brand", F.lit("B9")))
+                  .unionByName(master.filter(odd == TWO_VOLUMES).withColumn("volume_m3", volume(milli + 5)))
+                  .drop("a", "m"))
 
     warehouses = k.select("mp", F.concat(F.lit("W-"), F.col("cluster_to")).alias("warehouse_name"),
                           F.col("cluster_to").alias("cluster")).distinct()
 
-    mp_stock = (k.withColumn("date", _dates(cal_lo, as_of))
-                .withColumn("q", (n * (m + 2) + a * 13 + r * 7 + s * 5) % 41)
+    mp_stock = (act.withColumn("q", (n * (m + 2) + a * 13 + r * 7 + s * 5) % 41)
                 .select("date", "mp", "seller", "sku", "article_1c", "code_1c",
-                        F.concat(F.lit("W-"), F.col("cluster_to")).alias("warehouse_name"),
+                        F.when(odd == NO_WAREHOUSE, F.lit("W-unknown"))
+                         .otherwise(F.concat(F.lit("W-"), F.col("cluster_to"))).alias("warehouse_name"),
                         F.col("q").cast("bigint").alias("quantity"),
                         F.col("q").cast("bigint").alias("quantityFree"),
                         (F.col("q") + 3).cast("bigint").alias("quantityFull")))
-    central_stock = (k.select("article_1c", "code_1c", "a").distinct()
-                     .withColumn("date", _dates(cal_lo, as_of))
+    central_stock = (act.select("article_1c", "code_1c", "a", "date").distinct()
                      .withColumn("q", (n * 3 + a * 17) % 97)
                      .select("date", F.lit(p.central_mp).alias("mp"), F.lit("").alias("seller"),
                              F.lit("").alias("sku"), "article_1c", "code_1c",
@@ -155,47 +170,48 @@ def fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
     stocks = mp_stock.unionByName(central_stock)
 
     bt = (a * 17 + r * 31 + m * 5 + s * 11) % 150 + 40
-    hist = (k.withColumn("date", _dates(cal_lo, prev))
-            .filter(~((r == 4) & ((n + a) % 2 == 0)) & ~((r == 3) & (a >= 2))))
     stock_hist = F.when((a + r + m) % 3 == 0, bt - (n + s) % 11).otherwise(
-        F.greatest(F.lit(0), (n * (m + 3) + a * 29 + r * 17 + s * 23) % (a * 40 + r * 12 + 30) - r * 5))
+        F.greatest(F.lit(0), (n * (m + 3) + a * 29 + r * 17 + s * 23) % (g * 40 + r * 12 + 30) - r * 5))
+    hist = (act.filter((F.col("date") < F.lit(as_of)) & ~((r == 4) & ((n + a) % 2 == 0)) & ~((r == 3) & (g >= 2)))
+            .withColumn("second", F.explode(F.when(odd == TWICE, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))))
     zero = F.lit(0).cast("bigint")
     buffer_main = hist.select(
         F.lit(p.id_ver).alias("id_ver"), "date",
         F.concat(F.lit("name-A"), a).alias("name"),
         "article_1c", "code_1c", "mp", "seller", "sku", "cluster_to",
         (a * 10 + r).cast("bigint").alias("total_quantity_orders"),
-        (a + 3).cast("bigint").alias("max_quantity_order"),
-        ((a * 8 + r) / F.lit(16)).alias("avg_quantity_orders"),
+        (g + 3).cast("bigint").alias("max_quantity_order"),
+        ((g * 8 + r) / F.lit(16)).alias("avg_quantity_orders"),
         r.cast("bigint").alias("days_oos_number"),
-        a.cast("bigint").alias("days_bp_number"),
+        g.cast("bigint").alias("days_bp_number"),
         F.lit(p.rt_days).cast("bigint").alias("avg_day_to_cluster"),
         zero.alias("insurance_reserv_cluster"),
         F.lit(p.window_days).cast("bigint").alias("buffer_cluster_norm"),
-        bt.cast("bigint").alias("buffer_cluster"),
+        (bt + F.col("second") * 5).cast("bigint").alias("buffer_cluster"),
         zero.alias("deliveries_to_cluster"),
         F.lit(0.0).alias("buffer_cluster_marker_current"),
         F.lit(0.0).alias("buffer_cluster_marker"),
         ((n * (m + 1) + a + r) % 13).cast("bigint").alias("quantity_orders"),
-        stock_hist.cast("bigint").alias("quantity_stocks"),
+        (stock_hist + F.col("second") * 3).cast("bigint").alias("quantity_stocks"),
         zero.alias("quantity_supplies"),
         zero.alias("quantity_supplies_within_rt"),
         ((n + a + r) % 6).cast("bigint").alias("new_buffer"),
     )
 
-    buffer_supplies = (k.withColumn("date", _dates(cal_lo, prev))
-                       .filter((n + a + r) % 9 == 0)
+    # a shipment for about a third of the sales rows, with their quantity, a few days ahead of them
+    shipped = F.date_sub("date", 3)
+    buffer_supplies = (sales_t.filter((F.date_sub("date", 3) < F.lit(as_of)) & ((n + F.col("quantity_orders")) % 3 == 0))
                        .select(F.lit(p.id_ver).alias("id_ver"),
                                F.concat_ws("_", "mp", "seller", "cluster_to").alias("supply_id"),
-                               F.col("date").alias("shipping_date"),
-                               F.date_add(F.col("date"), (a % 3 * 4 + 5).cast("int")).alias("closing_date"),
+                               shipped.alias("shipping_date"),
+                               F.date_add(shipped, (a % 3 * 4 + 5).cast("int")).alias("closing_date"),
                                "article_1c", "code_1c", "mp", "seller", "sku", "cluster_to",
-                               ((a * 5 + r * 3) % 20 + 3).cast("int").alias("quantity_supplies")))
+                               F.col("quantity_orders").cast("int").alias("quantity_supplies")))
 
     action = _choose((a + r + m + s) % 3, ("UP", "DOWN", "HOLD"))
     calc_keys = k.select(
         F.lit(as_of).alias("date"), *KEY,
-        F.when((r == 3) & (a >= 2), F.lit("first_init"))
+        F.when((r == 3) & (g >= 2), F.lit("first_init"))
          .when(action.isin("UP", "DOWN"), F.lit("recalc_day"))
          .otherwise(F.lit("simulate_day")).alias("calc_type"),
         action.alias("action_suggested"),
@@ -210,7 +226,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
     supplies_list = k.select(supply_id.alias("supply_id"),
                              F.concat(F.lit("W-"), F.col("cluster_to")).alias("fc_warehouse"))
     import_supplies = k.select("code_1c", "article_1c",
-                               (a * 10 + 100).cast("bigint").alias("quantity")).distinct()
+                               (g * 10 + 100).cast("bigint").alias("quantity")).distinct()
     dimensions = k.select("article_1c", "sku", "seller", "mp",
                           _choose(a % 3, SIZE_MARKS).alias("mark_mp")).distinct()
 
@@ -227,14 +243,14 @@ def fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
 _STORED: dict = {}
 
 # How each derived table is laid out when stored, as the production tables
-# are: facts sorted by date (row-group min/max lets date filters skip data),
-# state partitioned by version and date (date filters prune directories).
+# are: sorted by date, so that row-group min/max lets date filters skip data.
+# (The state store proper has a directory for each day; thousands of tiny
+# directories would only slow the tests down.)
 _LAYOUT = {
     "sales": ("sort", "date"),
     "stocks": ("sort", "date"),
-    "buffer_main": ("partition", ["id_ver", "date"]),
-    "buffer_supplies": ("partition", ["id_ver", "shipping_date"]),
-    "buffer_calc_keys": ("partition", ["id_ver", "date"]),
+    "buffer_main": ("sort", "date"),
+    "buffer_supplies": ("sort", "closing_date"),
 }
 
 
@@ -243,7 +259,8 @@ def stored_fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_
     session's checkpoint folder and read them back.
 
     Queries then start from plain Parquet scans (as in production) instead of
-    re-deriving sales from lineitem in every branch of a plan.
+    re-deriving sales from lineitem in every branch of a plan.  The folder
+    carries the application's id, so sessions do not overwrite each other's.
     """
     from shelfwise.session import ensure_checkpoint_dir
     from shelfwise.sources.tables import TABLE_NAMES, read_tables
@@ -252,21 +269,20 @@ def stored_fixture_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_
     if key in _STORED:
         return _STORED[key]
     tag = hashlib.sha1(f"{sf_dir}|{as_of}".encode()).hexdigest()[:12]
-    root = f"{ensure_checkpoint_dir(spark)}/fixtures/{tag}"
+    root = f"{ensure_checkpoint_dir(spark)}/fixtures/{spark.sparkContext.applicationId}/{tag}"
     sales_t = sales_table(spark, sf_dir)
     # (date, sku) range keys: a date holding a large share of rows still splits across files
     sales_t.repartitionByRange("date", "sku").sortWithinPartitions("date").write.mode("overwrite").parquet(
         f"{root}/sales_tagged")
-    t = fixture_tables(spark, sf_dir, as_of, sales_t=spark.read.parquet(f"{root}/sales_tagged"))
+    sales_t = spark.read.parquet(f"{root}/sales_tagged")
+    active_days(sales_t).write.mode("overwrite").parquet(f"{root}/active_days")
+    t = fixture_tables(spark, sf_dir, as_of, sales_t=sales_t, act=spark.read.parquet(f"{root}/active_days"))
     for name in TABLE_NAMES:
         df = getattr(t, name)
         kind, cols = _LAYOUT.get(name, (None, None))
-        w = df
         if kind == "sort":
-            w = df.repartitionByRange(cols, "sku").sortWithinPartitions(cols)
-        writer = w.write.mode("overwrite")
-        if kind == "partition":
-            writer = writer.partitionBy(*cols)
-        writer.parquet(f"{root}/{name}")
+            df.repartitionByRange(cols, "sku").sortWithinPartitions(cols).write.mode("overwrite").parquet(f"{root}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
     _STORED[key] = read_tables(spark, root)
     return _STORED[key]
