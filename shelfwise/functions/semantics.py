@@ -6,7 +6,7 @@ NULL, whose float division by zero yields NaN/inf, and whose float ROUND is
 half-to-even.  Spark differs on all three, so every place that relies on
 them goes through a helper here:
 
-- ``left_join_fill`` / ``fill_defaults``: left join, then coalesce to defaults.
+- ``fill_defaults``: coalesce to type defaults after a left join.
 - ``safe_div``: NULL instead of NaN/inf/error; NULL is skipped by median and
   compares false, which is what NaN did in the source.
 - ``round_even``: ``bround`` (2.5 -> 2), never ``round``.
@@ -27,12 +27,6 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
                            for c, v in defaults.items()})
 
 
-def left_join_fill(left: DataFrame, right: DataFrame, on: Sequence[str],
-                   defaults: Mapping[str, object]) -> DataFrame:
-    """LEFT JOIN where unmatched right-side columns take type defaults, not NULL."""
-    return fill_defaults(left.join(right, list(on), "left"), defaults)
-
-
 def safe_div(num: Column, den: Column) -> Column:
     """num / den as double, NULL when den is 0 or NULL."""
     return F.try_divide(num.cast("double"), den.cast("double"))

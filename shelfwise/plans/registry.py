@@ -361,3 +361,33 @@ def q_daily_supplies(spark, sf_dir):
     snap = _cut(rollforward.buffer_main_day(t, day, _cut(dec.calc_keys(t, day))))
     lines = allocate.allocation_lines(snap, t, day)
     return rounded(allocate.shipments(allocate.truck_fill(lines, day), day), ["loaded_volume"])
+
+
+# --- the stored day: S10, S12, T22 through the state store --------------------
+
+def _stored(spark, sf_dir):
+    from datetime import timedelta
+    from uuid import uuid4
+
+    from shelfwise.plans.daily import run_day, seed_store
+    from shelfwise.session import ensure_checkpoint_dir
+    from shelfwise.sources.state import StateStore
+    t, day = _ctx(spark, sf_dir)
+    store = StateStore(spark, f"{ensure_checkpoint_dir(spark)}/stores/{uuid4().hex}")
+    seed_store(store, t, day.d, since=day.d - timedelta(days=day.p.period))
+    run_day(t, store, day.d)
+    return store, day
+
+
+@query("stored_day")
+def q_stored_day(spark, sf_dir):
+    from shelfwise.sources.state import snapshot
+    store, day = _stored(spark, sf_dir)
+    return snapshot(store, day.p.id_ver, day.d)
+
+
+@query("stored_supplies")
+def q_stored_supplies(spark, sf_dir):
+    from shelfwise.sources.state import snapshot
+    store, day = _stored(spark, sf_dir)
+    return snapshot(store, day.p.id_ver, day.d, "buffer_supplies")

@@ -26,6 +26,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "shelf
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,7 +45,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     if current:
         return current
-    d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir="/tmp")   # tests only: nothing was configured
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir="/tmp")   # one machine: tests and the bench
     spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return d

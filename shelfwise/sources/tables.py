@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 from typing import Optional
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,6 +40,10 @@ TABLE_NAMES = (
     "goods_supplies", "supplies_list", "import_supplies", "dimensions", "buffer_calc_keys",
 )
 
+#: State begins empty, and the report's extra tables may be absent.
+OPTIONAL = {"buffer_main", "buffer_supplies", "buffer_calc_keys", "goods_supplies", "supplies_list",
+            "import_supplies", "dimensions"}
+
 
 def read_tables(spark: SparkSession, root: str, state_root: Optional[str] = None) -> Tables:
     """Open the domain tables stored as ``{root}/{name}`` Parquet datasets.
@@ -53,6 +58,8 @@ def read_tables(spark: SparkSession, root: str, state_root: Optional[str] = None
         base = state_root if name in state else root
         try:
             out[name] = spark.read.parquet(f"{base}/{name}")
-        except Exception:  # AnalysisException: path does not exist
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND" or name not in OPTIONAL:
+                raise
             out[name] = None
     return Tables(**out)
