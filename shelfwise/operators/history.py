@@ -20,13 +20,14 @@ def cluster_map(t: Tables) -> DataFrame:
     return t.warehouses.select("mp", "warehouse_name", "cluster").distinct()
 
 
-def stocks_by_cluster(t: Tables, day: Day, lo, hi, report: bool = False) -> DataFrame:
+def stocks_by_cluster(t: Tables, day: Day, lo, hi, report: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Marketplace stock per (date, key-with-cluster) in [lo, hi].
 
     Init variant: positive free stock.  Report variant: positive total
     quantity, YM listings pooled under an empty sku, discounted Ozon skus
     removed (anti join).  Output column ``cluster`` is the warehouse's cluster
-    ('' when the warehouse is unknown).
+    ('' when the warehouse is unknown).  ``keys`` restricts the rows before they
+    are aggregated.
     """
     p = day.p
     s = (t.stocks.filter(in_range(F.col("date"), lo, hi, hi_inclusive=True))
@@ -40,6 +41,9 @@ def stocks_by_cluster(t: Tables, day: Day, lo, hi, report: bool = False) -> Data
     else:
         s = s.filter(F.col("quantityFree") > 0)
     s = s.join(cluster_map(t), ["mp", "warehouse_name"], "left").fillna({"cluster": ""})
+    if keys is not None:
+        own = keys.select(*KEY).withColumnRenamed("cluster_to", "cluster")
+        s = s.join(own, [c if c != "cluster_to" else "cluster" for c in KEY], "left_semi")
     return (s.groupBy("date", "mp", "seller", "sku", "article_1c", "code_1c", "cluster")
             .agg(F.sum("quantityFree").alias("quantity_stocks"),
                  F.sum("quantityFull").alias("quantity_stocks_full")))
@@ -75,24 +79,39 @@ def peak_stock(stock_days: DataFrame) -> DataFrame:
     return stock_days.groupBy(*KEY).agg(F.max("quantity_stocks").alias("max_qs"))
 
 
-def flag_days(cal: DataFrame, stock_days: DataFrame, orders: DataFrame, median: DataFrame,
-              day: Day, peak_default_one: bool = False) -> DataFrame:
-    """Calendar rows with stock, orders, out-of-stock and price flags.
+FACTS = ["quantity_stocks", "quantity_orders", "orders_sum", "cost_value_orders"]
 
+
+def history_by_key(facts: DataFrame, day: Day) -> DataFrame:
+    """One row per key with its days as a map: date -> FACTS, the peak stock before D and the median unit price.
+
+    ``facts`` has at most one row per (date, key); NULL is a fact the day does not
+    have.  A key has at most one entry per day of the window, so maps are small.
+    """
+    price = safe_div(F.col("orders_sum"), F.col("quantity_orders"))
+    return facts.groupBy(*KEY).agg(
+        F.max(F.when(F.col("date") < F.lit(day.d), F.col("quantity_stocks"))).alias("max_qs"),
+        F.median(price).alias("median_price"),
+        F.map_from_entries(F.collect_list(F.struct("date", F.struct(*FACTS)))).alias("by_day"))
+
+
+def flag_days(by_key: DataFrame, day: Day, peak_default_one: bool = False) -> DataFrame:
+    """Keys x days of [D-PERIOD, D) with stock, orders, out-of-stock and price flags.
+
+    The days come from the key's own map, so there is no join with a calendar.
     Missing stock / orders are 0 (type defaults of the source joins).  Out of
     stock: stock <= 0, or stock / peak <= OOS_RATIO (peak 0 -> no ratio; the
     report variant divides by ifnull(peak, 1)).  Price: unit price / median - 1
     against the thresholds; days without orders have no price and no flag.
     """
     p = day.p
-    df = (cal.join(stock_days.select("date", *KEY, "quantity_stocks"), ["date", *KEY], "left")
-          .join(peak_stock(stock_days), KEY, "left")
-          .join(orders, ["date", *KEY], "left")
-          .join(median, KEY, "left")
+    every = F.transform(F.sequence(F.lit(day.history_start), F.lit(day.prev)),
+                        lambda d: F.struct(d.alias("date"), F.try_element_at(F.col("by_day"), d).alias("f")))
+    df = (by_key.select(*KEY, "max_qs", "median_price", F.explode(every).alias("x"))
+          .select("x.date", *KEY, "max_qs", "median_price", *[F.col(f"x.f.{c}").alias(c) for c in FACTS])
           .fillna({"quantity_stocks": 0, "quantity_orders": 0, "orders_sum": 0.0, "cost_value_orders": 0.0}))
     qs = F.col("quantity_stocks")
-    peak = F.coalesce(F.col("max_qs"), F.lit(1)) if peak_default_one else F.coalesce(F.col("max_qs"), F.lit(0))
-    ratio = safe_div(qs, peak)
+    ratio = safe_div(qs, F.coalesce(F.col("max_qs"), F.lit(1 if peak_default_one else 0)))
     oos = (qs <= 0) | F.coalesce(ratio <= p.oos_ratio, F.lit(False))
     price = safe_div(F.col("orders_sum"), F.col("quantity_orders"))
     rate = safe_div(price, F.col("median_price")) - F.lit(1.0)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.semantics import capped_ratio, fill_defaults, materialize, round_even, safe_div
 from shelfwise.functions.series import ewma_last, exact_quantile
 from shelfwise.operators.demand import daily_sales
-from shelfwise.operators.history import flag_days, key_calendar, stocks_by_cluster
+from shelfwise.operators.history import FACTS, flag_days, history_by_key, key_calendar, stocks_by_cluster
 from shelfwise.operators.keys import lane_in_transit, supply_windows
 from shelfwise.params import Day
 from shelfwise.schema import BUFFER_MAIN_COLUMNS, KEY
@@ -39,23 +39,36 @@ class InitHistory:
         keep = materialize if cut else (lambda df: df)
         # calc keys are already stored (daily job) or checkpointed: no second cut here
         self.keys = route_keys(calc_keys, day, "first_init").select(*KEY).distinct()
-        stocks = keep(stocks_by_cluster(t, day, day.history_start, day.d)
-                      .withColumnRenamed("cluster", "cluster_to"))
-        self.stocks_window = stocks  # [D-PERIOD, D], all keys
-        self.stock_days = (stocks.filter(F.col("date") < F.lit(day.d))
-                           .join(self.keys, KEY, "left_semi")
-                           .select("date", *KEY, "quantity_stocks"))
-        self.orders = keep(daily_sales(t, day, self.keys, day.history_start, day.d, hi_inclusive=True,
-                                       nonzero=True))
-        self.calendar = key_calendar(self.stock_days.select(*KEY).distinct(), day)
+        # stock of these keys alone, [D-PERIOD, D]
+        self.stocks = (stocks_by_cluster(t, day, day.history_start, day.d, keys=self.keys)
+                       .withColumnRenamed("cluster", "cluster_to"))
+        self.orders = daily_sales(t, day, self.keys, day.history_start, day.d, hi_inclusive=True, nonzero=True)
+        none = {c: F.lit(None).cast(k) for c, k in (("quantity_stocks", "bigint"), ("quantity_orders", "bigint"),
+                                                    ("orders_sum", "double"), ("cost_value_orders", "double"))}
+        facts = (self.stocks.select("date", *KEY, "quantity_stocks",
+                                    *[none[c].alias(c) for c in ("quantity_orders", "orders_sum", "cost_value_orders")])
+                 .unionByName(self.orders.select("date", *KEY, none["quantity_stocks"].alias("quantity_stocks"),
+                                                 "quantity_orders", "orders_sum", "cost_value_orders")))
+        by_day = facts.groupBy("date", *KEY).agg(*[F.sum(c).alias(c) for c in FACTS])
+        # keys that had stock before D; their days, peak and median price are read several times, so cut once
+        self.every_key = keep(history_by_key(by_day, day))
+        self.by_key = self.every_key.filter(F.col("max_qs").isNotNull())
+
+    @property
+    def calendar(self) -> DataFrame:
+        return key_calendar(self.by_key.select(*KEY), self.day)
 
     def median_price(self) -> DataFrame:
-        return (self.orders.groupBy(*KEY)
-                .agg(F.median(safe_div(F.col("orders_sum"), F.col("quantity_orders"))).alias("median_price")))
+        return self.every_key.filter(F.col("median_price").isNotNull()).select(*KEY, "median_price")
 
     def days(self) -> DataFrame:
         """One row per key and day of the window with the day flags."""
-        return flag_days(self.calendar, self.stock_days, self.orders, self.median_price(), self.day)
+        return flag_days(self.by_key, self.day)
+
+    def today(self) -> DataFrame:
+        """Stock and orders of D itself."""
+        d = F.try_element_at(F.col("by_day"), F.lit(self.day.d))
+        return self.by_key.select(*KEY, d["quantity_stocks"].alias("quantity_stocks"), d["quantity_orders"].alias("orders_d"))
 
     def summary(self) -> DataFrame:
         """Every per-key statistic of the init in one aggregation."""
@@ -97,14 +110,10 @@ def first_init(t: Tables, day: Day, calc_keys: DataFrame) -> DataFrame:
     p = day.p
     h = InitHistory(t, day, calc_keys)
     s = h.summary().filter(F.col("n_good") > 0)
-    on_d = (h.stocks_window.filter(F.col("date") == F.lit(day.d))
-            .select(*KEY, "quantity_stocks"))
-    orders_d = h.orders.filter(F.col("date") == F.lit(day.d)).select(*KEY, F.col("quantity_orders").alias("orders_d"))
     within = supply_windows(t, day, h.keys).select(*KEY, "quantity_supplies_within_rt")
-    df = (s.join(on_d, KEY, "left")
+    df = (s.join(h.today(), KEY, "left")
           .join(lane_in_transit(t, day), ["mp", "seller", "article_1c", "code_1c", "cluster_to"], "left")
-          .join(within, KEY, "left")
-          .join(orders_d, KEY, "left"))
+          .join(within, KEY, "left"))
     df = fill_defaults(df, {"quantity_stocks": 0, "quantity_supplies": 0,
                             "quantity_supplies_within_rt": 0, "orders_d": 0})
     lim = p.max_excluded_days

@@ -89,7 +89,7 @@ def supply_windows(t: Tables, day: Day, keys: DataFrame | None = None) -> DataFr
     arrive = (close == d) & (ship <= d)
     transit = (ship < d) & (close > d)
     within = (close > d) & (close <= F.lit(day.rt_end)) & (ship < d)
-    s = s.filter(arrive | transit | within)
+    s = s.filter((close >= d) & (arrive | transit | within))      # all three windows: only open shipments are read
     if keys is not None:
         s = s.join(keys, KEY, "left_semi")
     zero = F.lit(0).cast("bigint")

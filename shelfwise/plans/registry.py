@@ -170,7 +170,7 @@ def q_key_calendar(spark, sf_dir):
 @query("peak_stock")
 def q_peak_stock(spark, sf_dir):
     h, _, _ = _init_history(spark, sf_dir)
-    return history.peak_stock(h.stock_days)
+    return h.by_key.select(*KEY, "max_qs")
 
 
 @query("oos_days")
