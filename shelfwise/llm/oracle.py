@@ -1,3 +1,79 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express: decontamination, line runs, repeated bytes.
 
-ORACLE: dict[str, str] = {}
+The others need a tokeniser, XXH64 or a trained model; tests/llm holds them against
+brute force, round trips and held-out rows.
+"""
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words(table: str, key: str) -> str:
+    return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w"
+            f" FROM {table}")
+
+
+OP3 = f"""
+WITH d AS MATERIALIZED ({_words('documents', 'doc_id')}),
+item AS (SELECT * FROM ({_words('benchmark', 'item_id')}) i WHERE len(w) > 0),
+win AS MATERIALIZED (
+  SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, least(10, len(w)) AS n,
+         array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM item) x),
+place AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS words
+  FROM (SELECT d.*, k.n, unnest(range(1, len(w) - k.n + 2)) AS s FROM d, (SELECT DISTINCT n FROM win) k) x),
+found AS MATERIALIZED (SELECT doc_id, s, n, item FROM place JOIN win USING (n, words)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM found) y GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha
+          FROM (SELECT DISTINCT doc_id, item FROM found) z GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(sha, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+OP5 = r"""
+WITH line AS MATERIALIZED (
+  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS x
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents) d),
+full_line AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS p, lead(x) OVER (PARTITION BY doc_id ORDER BY pos) AS y
+  FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+run AS (SELECT doc_id, p, CASE WHEN length(x) >= 250 THEN 1 ELSE 2 END AS n,
+               CASE WHEN length(x) >= 250 THEN x ELSE x || chr(10) || y END AS lines
+        FROM full_line WHERE length(x) >= 250 OR y IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n, lines ORDER BY doc_id, p) AS copy FROM run),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, p + unnest(range(n)) AS p FROM ranked WHERE copy > 1),
+runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS DISTINCT FROM p - 1) AS n_runs
+         FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) g GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY pos) AS text
+         FROM line LEFT JOIN full_line USING (doc_id, pos, x) LEFT JOIN (SELECT *, true AS cut FROM gone) g USING (doc_id, p)
+         WHERE cut IS NULL GROUP BY doc_id),
+total AS (SELECT doc_id, count(*) AS n_lines FROM line GROUP BY doc_id)
+SELECT doc_id, n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM total LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP10 = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS MATERIALIZED (SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS x
+                     FROM (SELECT *, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS s FROM d) w),
+first AS (SELECT x, min(doc_id) AS first FROM win GROUP BY x HAVING min(doc_id) < max(doc_id)),
+gone AS MATERIALIZED (SELECT doc_id, s FROM win JOIN first USING (x) WHERE doc_id > first),
+mark AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS new FROM gone),
+span AS MATERIALIZED (
+  SELECT doc_id, min(s) AS a, max(s) + 50 AS b
+  FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM mark) m GROUP BY doc_id, k),
+cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id),
+stay AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h
+  FROM (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM span
+        UNION ALL SELECT doc_id, max(b), CAST(1000000000 AS BIGINT) FROM span GROUP BY doc_id) g JOIN d USING (doc_id)
+  GROUP BY doc_id)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(from_hex(coalesce(stay.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN stay USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op3_positional_index": OP3, "op5_line_runs": OP5, "op10_radix": OP10}
