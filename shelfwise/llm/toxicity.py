@@ -27,7 +27,7 @@ from shelfwise.llm.common import (WordTable, bounds_of, documents, filter_texts,
 
 BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Bound of the training sample, for each class.
-PER_CLASS = 3000
+PER_CLASS = 2000
 EPOCHS, BATCH, RATE = 12, 128, 0.05
 #: Subwords in fewer documents of the sample are left out of training and add nothing to a score.
 MIN_DOCS = 10
@@ -132,9 +132,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = MOD
         p = min(max(counts.get(1, 0) / max(1, sum(counts.values())), 1e-9), 1 - 1e-9)
         return np.zeros(BUCKETS), math.log(p / (1 - p))
     sample = labelled_sample(docs, labels, label, mod, rest, per_class)
-    got = map_texts(sample, bags, "buckets array<int>, counts array<int>", keep=("doc_id", "label")).toArrow().sort_by("doc_id")
-    rows = list(zip((np.array(x, np.int64) for x in got["buckets"].to_numpy()), (np.array(x) for x in got["counts"].to_numpy()),
-                    got["label"].to_pylist()))
+    got = map_texts(sample, bags, "buckets array<int>, counts array<int>", keep=("doc_id", "label")).toArrow()
+    order = np.argsort(got["doc_id"].to_numpy(), kind="stable")          # the order of rows is not fixed, their set is
+    columns = [got["buckets"].to_numpy(), got["counts"].to_numpy(), got["label"].to_numpy()]
+    del got
+    rows = [(np.array(columns[0][k], np.int32), np.array(columns[1][k], np.int32), int(columns[2][k])) for k in order]
+    del columns
     n = np.bincount([r[2] for r in rows], minlength=2)
     if not n.all():
         return np.zeros(BUCKETS), math.log(counts[1] / counts[0])
