@@ -13,14 +13,15 @@ all bytes that the run's windows cover, the document and the run's place.
     smallest doc_id are removed whole.  An anchor with one kind of run is done; it leaves the
     sort.  Only runs of the smallest document of each kind, under anchors with several kinds,
     go on.
-Second digit.  These runs are spread into their windows, each with the hash of its ``depth``
-bytes below the anchor's hash; in a group of equal windows, those that do not start in the
-group's smallest document are removed.
+Second digit.  The bytes of these runs are fetched and sent by the anchor's hash; there each run
+is spread into its windows, and of equal windows those that do not start in the group's smallest
+document are removed.
 
 Records travel as packed columns, one block for each task and shard; a task merges equal texts
 and equal runs of its own documents first, so a copied text or a common passage reaches a shard
-once per task at most.  Windows are compared by 64-bit hashes inside groups of 64-bit anchor
-hashes.  Texts are joined by (doc_id, hash of the text), which no group of copies shares.
+once per flush at most.  Runs are compared by 40 bits of the anchor's hash beside those that the
+shard fixes, and 40 of their bytes' hash; windows by 64 bits among runs of one shard.  Texts are
+joined by (doc_id, hash of the text), which no group of copies shares, and shuffled once.
 
 Defined cases: a null or empty text has 0 bytes and nothing removed; texts shorter than
 ``depth`` keep all; rows with one doc_id never remove each other's bytes; repeated rows get the
@@ -33,14 +34,17 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, parts_for, pieces, stored, texts_of
 
 DEPTH, GRAM = 50, 20
-#: Bytes of text for each shard of the sort, and of text that a task hashes at once.
-SHARD_BYTES, CHUNK = 16 << 20, 2 << 20
+#: Bytes of text for each shard of the sort, that a task hashes at once, and after which it sends its records.
+SHARD_BYTES, CHUNK, FLUSH = 16 << 20, 1 << 20, 8 << 20
+#: Shards of the second digit for each of the first: a run takes many times its room when it is spread.
+SPREAD = 4
 #: A null doc_id is ordered last, as this number (which no document should have).
 LAST = (1 << 63) - 1
 MULT = 0x9E3779B97F4A7C15
@@ -81,57 +85,65 @@ class Hasher:
         return _mix((self.prefix[n:] - self.prefix[:k]) * self.inverse[:k] + np.uint64(n))
 
 
-def runs_of(hasher: Hasher, texts: list[bytes], depth: int, gram: int):
-    """(text, start, end, anchor hash) of each run of window starts; hasher holds the joined texts afterwards."""
+def anchors_of(hasher: Hasher, texts: list[bytes], depth: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all grams, place of the anchor of the window at each start); hasher holds the joined texts afterwards."""
     data = np.frombuffer(b"".join(texts), np.uint8)
-    size = np.array([len(t) for t in texts], np.int64)
-    ends = np.cumsum(size)
     hasher.load(data)
-    none = np.zeros(0, np.int64)
-    if len(data) < depth:
-        return none, none, none, np.zeros(0, np.uint64)
     g = hasher.grams(gram)
-    bits = max(1, int(len(g)).bit_length())
-    # the hash's high bits order the grams; the place below them makes the leftmost the least and names it
-    low = ((g >> np.uint64(bits)) << np.uint64(bits)) | np.arange(len(g), dtype=np.uint64)
+    if len(data) < depth:
+        return g, np.zeros(0, np.int64)
+    # 32 bits of the hash order the grams; the place below them makes the leftmost of equals the least, and names it
+    low = ((g >> np.uint64(32)) << np.uint64(32)) | np.arange(len(g), dtype=np.uint64)
     width, span = depth - gram + 1, 1
     while span * 2 <= width:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
     if span < width:
         low = np.minimum(low[:len(low) - (width - span)], low[width - span:])
-    place = (low & np.uint64((1 << bits) - 1)).astype(np.int64)      # anchor of the window that starts here
+    return g, (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def runs_of(hasher: Hasher, texts: list[bytes], depth: int, gram: int):
+    """(text, start, end, anchor hash) of each run of window starts with one anchor."""
+    size = np.array([len(t) for t in texts], np.int64)
+    g, place = anchors_of(hasher, texts, depth, gram)
     text = np.repeat(np.arange(len(texts)), size)[:len(place)]
-    at = np.nonzero(np.arange(len(place)) + depth <= ends[text])[0]
+    at = np.nonzero(np.arange(len(place)) + depth <= np.cumsum(size)[text])[0]
     if not len(at):
-        return none, none, none, np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     new = np.nonzero(np.concatenate([[True], (place[at[1:]] != place[at[:-1]]) | (text[at[1:]] != text[at[:-1]])]))[0]
     start = at[new]
-    end = at[np.append(new[1:], len(at)) - 1] + 1
-    return text[start], start, end, g[place[start]]
+    return text[start], start, at[np.append(new[1:], len(at)) - 1] + 1, g[place[start]]
 
 
-def _pack(**columns) -> bytes:
-    return b"".join(np.ascontiguousarray(c).tobytes() for c in columns.values())
+def _pack(*columns) -> bytes:
+    """Columns (array, bytes of each value), byte plane after byte plane, compressed."""
+    out = [np.uint32(len(columns[0][0])).tobytes()]
+    for x, width in columns:
+        out.append(np.ascontiguousarray(x).astype(np.uint64, copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.compress(b"".join(out), 1)
 
 
-def _unpack(blob: bytes, **kinds) -> list[np.ndarray]:
-    width = sum(np.dtype(k).itemsize for k in kinds.values())
-    n, at, out = len(blob) // width, 0, []
-    for k in kinds.values():
-        size = np.dtype(k).itemsize * n
-        out.append(np.frombuffer(blob, k, n, at))
-        at += size
+def _unpack(blob: bytes, *widths) -> list[np.ndarray]:
+    raw = zstandard.decompress(blob)
+    n, at, out = int(np.frombuffer(raw, np.uint32, 1)[0]), 4, []
+    for width in widths:
+        full = np.zeros((n, 8), np.uint8)
+        full[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        out.append(full.view(np.uint64).ravel())
+        at += n * width
     return out
 
 
-RECORD = {"anchor": "<u8", "other": "<u8", "start": "<u4", "span": "u1"}
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences that a running sum undoes; neighbours are alike, so they pack well."""
+    return np.diff(x.astype(np.uint64), prepend=np.uint64(0))
 
 
-def _emit(shards: int, doc: np.ndarray, key: np.ndarray, anchor, other, start, span):
-    """(shard, documents, keys, counts, packed columns) of records, in order of documents."""
+def _emit(shards: int, doc, key, anchor, other, start, span):
+    """(shard, packed documents, packed runs) for each shard, in order of documents."""
     to = (anchor % np.uint64(shards)).astype(np.int64)
-    order = np.lexsort((key, doc, to))
+    order = np.lexsort((start, key, doc, to))
     to, doc, key, anchor, other, start, span = (x[order] for x in (to, doc, key, anchor, other, start, span))
     cuts = np.searchsorted(to, np.arange(shards + 1))
     for s in range(shards):
@@ -140,36 +152,73 @@ def _emit(shards: int, doc: np.ndarray, key: np.ndarray, anchor, other, start, s
             continue
         d, k = doc[a:b], key[a:b]
         first = np.nonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))[0]
-        count = np.diff(np.append(first, b - a))
-        yield s, _pack(d=d[first], k=k[first], c=count.astype("<u4")), _pack(
-            anchor=anchor[a:b], other=other[a:b], start=start[a:b].astype("<u4"), span=span[a:b].astype("u1"))
+        heads = _pack((_steps(d[first]), 8), (k[first], 8), (np.diff(np.append(first, b - a)), 4))
+        yield s, heads, _pack((anchor[a:b] // np.uint64(shards), 5), (other[a:b], 5), (_steps(start[a:b]), 4), (span[a:b], 1))
+
+
+def _heads(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents, keys, number of the document of each record) of blocks."""
+    docs, keys, counts = [], [], []
+    for b in blobs:
+        d, k, c = _unpack(b, 8, 8, 4)
+        docs.append(np.cumsum(d, dtype=np.uint64).view(np.int64))
+        keys.append(k.view(np.int64))
+        counts.append(c.astype(np.int64))
+    docs, keys, counts = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, keys, counts))
+    return docs, keys, np.repeat(np.arange(len(docs), dtype=np.int32), counts)
 
 
-def _gather(table: pa.Table) -> list[np.ndarray]:
-    """doc, key, anchor, other, start, span of all records of a shard."""
-    parts = []
-    for heads, body in zip(table["heads"].to_pylist(), table["body"].to_pylist()):
-        d, k, c = _unpack(heads, d="<i8", k="<i8", c="<u4")
-        parts.append([np.repeat(d, c), np.repeat(k, c), *_unpack(body, **RECORD)])
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 6
+def _runs(blobs: list[bytes]) -> list[np.ndarray]:
+    """anchor, other, start, span of the records of blocks."""
+    parts = [_unpack(b, 5, 5, 4, 1) for b in blobs]
+    if not parts:
+        return [np.zeros(0, np.int64)] * 4
+    start = np.concatenate([np.cumsum(p[2], dtype=np.uint64).astype(np.uint32) for p in parts])
+    return [np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), start.astype(np.int64),
+            np.concatenate([p[3].astype(np.uint8) for p in parts]).astype(np.int64)]
 
 
-BLOCK = [("shard", pa.int64()), ("heads", pa.binary()), ("body", pa.binary())]
-BLOCK_SQL = "shard long, heads binary, body binary"
-#: What is removed or goes on: kind 0, bytes from start to start + length are removed; kind 1, the run is spread.
-FOUND_SQL = "doc long, key long, kind int, marks binary"
-FOUND = ["doc", "key", "kind", "marks"]
+#: Blocks hold runs; own blocks hold what a task removes by itself: heads a document and key, body its marks.
+BLOCK, BLOCK_SQL = ["shard", "heads", "body", "own"], "shard long, heads binary, body binary, own boolean"
+#: What is removed or goes on: kind 0, bytes from start on are removed; kind 1, the run's windows are spread.
+FOUND, FOUND_SQL = ["doc", "key", "kind", "marks"], "doc long, key long, kind int, marks binary"
+FOUND_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+
+def _blocks(rows, own: bool = False):
+    rows = list(rows)
+    for at in range(0, len(rows), 1000):
+        cols = list(zip(*rows[at:at + 1000]))
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()),
+                                           pa.array([own] * len(cols[0]))], BLOCK)
 
 
 def _found(doc, key, kind, start, length) -> pa.Table:
     """One row for each document and kind, with its packed starts and lengths."""
     order = np.lexsort((start, kind, key, doc))
     doc, key, kind, start, length = (x[order] for x in (doc, key, kind, start, length))
-    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])]) if len(doc) else np.zeros(0, bool)
-    first = np.nonzero(new)[0]
+    first = np.nonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])]))[0] if len(doc) else np.zeros(0, np.int64)
+    if len(doc):     # removed stretches that touch or overlap become one
+        reach = np.zeros(len(doc), np.int64)
+        for a, b in zip(first, np.append(first[1:], len(doc))):
+            reach[a:b] = np.maximum.accumulate(start[a:b] + length[a:b])
+        new = np.ones(len(doc), bool)
+        new[1:] = (kind[1:] == 1) | (start[1:] > reach[:-1])
+        new[first] = True
+        at = np.nonzero(new)[0]
+        ends = reach[np.append(at[1:], len(doc)) - 1]
+        length = np.where(kind[at] == 1, length[at], ends - start[at])
+        doc, key, kind, start = doc[at], key[at], kind[at], start[at]
+        first = np.searchsorted(at, first)
     marks = [np.stack([start[a:b], length[a:b]]).astype("<u4").tobytes() for a, b in zip(first, np.append(first[1:], len(doc)))]
-    return pa.table({"doc": pa.array(doc[first], pa.int64()), "key": pa.array(key[first], pa.int64()),
-                     "kind": pa.array(kind[first].astype(np.int32), pa.int32()), "marks": pa.array(marks, pa.binary())})
+    return pa.table([pa.array(doc[first], pa.int64()), pa.array(key[first], pa.int64()), pa.array(kind[first].astype(np.int32)),
+                     pa.array(marks, pa.binary())], FOUND)
+
+
+def _marks(blobs: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+    parts = [np.frombuffer(b, "<u4").reshape(2, -1) for b in blobs or ()]
+    both = np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((2, 0), np.int64)
+    return both[0], both[1]
 
 
 def _equal_groups(*keys) -> tuple[np.ndarray, np.ndarray]:
@@ -182,145 +231,107 @@ def _equal_groups(*keys) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
-def first_digit(depth: int, gram: int, shards: int, chunk: int):
-    """Task-side: documents (doc, key, text) to blocks of runs; shard -1 holds what the task itself can remove."""
+def _kinds(*keys) -> np.ndarray:
+    """Number of each row's run of equal keys, for sorted keys."""
+    out = np.zeros(len(keys[0]), np.int64)
+    if len(out):
+        out[1:] = np.cumsum(np.any([k[1:] != k[:-1] for k in keys], axis=0))
+    return out
+
+
+def first_digit(depth: int, gram: int, shards: int, chunk: int, flush_bytes: int):
+    """Task-side: documents (doc, key, text) to blocks of runs, and what the task itself can remove (blocks without runs)."""
+    def own(found: pa.Table):
+        rows = zip(*(found[c].to_pylist() for c in ("doc", "key", "marks")))
+        return _blocks((((d * 31 + k) % shards, np.array([d, k], "<i8").tobytes(), m) for d, k, m in rows), True)
+
+    def send(held):
+        doc, key, anchor, other, start, span = (np.concatenate(x) for x in zip(*held))
+        order, _ = _equal_groups(anchor, other, doc)
+        doc, key, anchor, other, start, span = (x[order] for x in (doc, key, anchor, other, start, span))
+        kind = _kinds(anchor, other)
+        later = doc > doc[np.searchsorted(kind, kind)]   # the first of a kind is in its smallest document
+        yield from _blocks(_emit(shards, *(x[~later] for x in (doc, key, anchor, other, start, span))))
+        if later.any():
+            yield from own(_found(doc[later], key[later], np.zeros(int(later.sum()), np.int64), start[later], span[later] + depth - 1))
+
     def run(batches):
-        hasher = Hasher(chunk)
-        held: list[list[np.ndarray]] = []
-        whole: dict[int, int] = {}                       # text key -> smallest document of this task that has it
-        copies: list[tuple[int, int, int]] = []
-
-        def flush():
-            if not held:
-                return
-            doc, key, anchor, other, start, span = (np.concatenate(x) for x in zip(*held))
-            held.clear()
-            order, group = _equal_groups(anchor, other, doc)
-            doc, key, anchor, other, start, span = (x[order] for x in (doc, key, anchor, other, start, span))
-            kind = np.zeros(len(doc), np.int64)          # number of (anchor, other)
-            kind[1:] = np.cumsum((anchor[1:] != anchor[:-1]) | (other[1:] != other[:-1]))
-            lead = np.searchsorted(kind, kind)           # first record of the kind: its smallest document
-            later = doc > doc[lead]
-            yield from _emit(shards, *(x[~later] for x in (doc, key, anchor, other, start, span)))
-            if later.any():
-                found = _found(doc[later], key[later], np.zeros(int(later.sum()), np.int64), start[later], span[later] + np.int64(depth - 1))
-                yield from own(found)
-
-        def own(found: pa.Table):
-            for d, k, m in zip(found["doc"].to_pylist(), found["key"].to_pylist(), found["marks"].to_pylist()):
-                yield (d * 31 + k) % shards, _pack(d=np.array([d], "<i8"), k=np.array([k], "<i8")), b"\x00" + m
-
-        def blocks(rows):
-            rows = list(rows)
-            for at in range(0, len(rows), 1000):
-                some = rows[at:at + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some], pa.binary()),
-                                                  pa.array([r[2] for r in some], pa.binary())], [n for n, _ in BLOCK])
-
-        size = 0
+        hasher, held, size, copies = Hasher(chunk), [], 0, []
         for batch in batches:
             for part in pieces(batch, "text", chunk):
-                docs = part.column(0).to_pylist()
-                keys = part.column(1).to_pylist()
-                texts, take = texts_of(part.column(2)), []
-                least: dict[int, int] = {}
-                for i in sorted(range(len(texts)), key=lambda i: docs[i]):
-                    if keys[i] in least:
-                        if docs[i] > least[keys[i]]:
-                            copies.append((docs[i], keys[i], len(texts[i])))
-                    elif len(texts[i]) >= depth:
-                        least[keys[i]] = docs[i]
+                docs, keys, texts = part.column(0).to_pylist(), part.column(1).to_pylist(), texts_of(part.column(2))
+                least, take = {}, []
+                for i in sorted(range(len(texts)), key=docs.__getitem__):
+                    if len(texts[i]) < depth:
+                        continue
+                    if docs[i] > least.setdefault(texts[i], docs[i]):
+                        copies.append((docs[i], keys[i], 0, 0, len(texts[i])))
+                    elif least[texts[i]] == docs[i]:
                         take.append(i)
                 which, start, end, anchor = runs_of(hasher, [texts[i] for i in take], depth, gram)
                 if len(which):
-                    other = hasher.of(start, end + depth - 1)
-                    base = np.concatenate([[0], np.cumsum([len(texts[i]) for i in take])])
-                    d = np.array([docs[i] for i in take], np.int64)[which]
-                    k = np.array([keys[i] for i in take], np.int64)[which]
-                    held.append([d, k, anchor, other, (start - base[which]).astype(np.int64), end - start])
-                size += sum(len(t) for t in texts)
-                if size > 16 * chunk:
-                    yield from blocks(flush())
-                    size = 0
-        yield from blocks(flush())
+                    base = np.cumsum([0] + [len(texts[i]) for i in take])
+                    held.append([np.array([docs[i] for i in take], np.int64)[which], np.array([keys[i] for i in take], np.int64)[which],
+                                 anchor, hasher.of(start, end + depth - 1), start - base[which], end - start])
+                size += sum(map(len, texts))
+                if size > flush_bytes and held:
+                    yield from send(held)
+                    held, size = [], 0
+        if held:
+            yield from send(held)
         if copies:
-            d, k, n = (np.array(x, np.int64) for x in zip(*copies))
-            yield from blocks(own(_found(d, k, np.zeros(len(d), np.int64), np.zeros(len(d), np.int64), n)))
+            yield from own(_found(*(np.array(x, np.int64) for x in zip(*copies))))
 
     return run
 
 
-def _split_own(table: pa.Table) -> tuple[pa.Table, pa.Table]:
-    """Records of the sort, and what tasks have removed by themselves (blocks that begin with a zero byte and one document)."""
-    mask = np.array([len(h) == 16 for h in table["heads"].to_pylist()], bool)
-    mine = table.filter(pa.array(mask))
-    rows = [(*np.frombuffer(h, "<i8").tolist(), 0, b[1:]) for h, b in zip(mine["heads"].to_pylist(), mine["body"].to_pylist())]
-    kept = pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(
-        zip(FOUND, (pa.int64(), pa.int64(), pa.int32(), pa.binary())))})
-    return table.filter(pa.array(~mask)), kept
-
-
 def equal_runs(depth: int):
     """Reducer of the first digit: blocks of a shard to what is removed and what goes on."""
     def run(table: pa.Table) -> pa.Table:
-        table, removed = _split_own(table)
-        doc, key, anchor, other, start, span = _gather(table)
-        if not len(doc):
-            return removed
+        rows = list(zip(*(table[c].to_pylist() for c in BLOCK[1:])))
+        own = [(*np.frombuffer(h, "<i8").tolist(), 0, b) for h, b, mine in rows if mine]
+        removed = pa.table([pa.array(x, t) for x, t in zip(zip(*own) if own else [()] * 4, FOUND_TYPES)], FOUND)
+        docs, keys, of = _heads([h for h, _, mine in rows if not mine])
+        anchor, other, start, span = _runs([b for _, b, mine in rows if not mine])
         order = np.argsort(anchor, kind="stable")
-        a = anchor[order]
-        same = a[1:] == a[:-1]
-        twice = np.zeros(len(a), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        at = order[twice]                                # anchors that occur once leave the sort
-        doc, key, anchor, other, start, span = (x[at] for x in (doc, key, anchor, other, start, span))
-        order, _ = _equal_groups(anchor, other, doc)
-        doc, key, anchor, other, start, span = (x[order] for x in (doc, key, anchor, other, start, span))
-        kind = np.zeros(len(doc), np.int64)
-        kind[1:] = np.cumsum((anchor[1:] != anchor[:-1]) | (other[1:] != other[:-1]))
+        same = anchor[order[1:]] == anchor[order[:-1]]
+        at = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(order) else order
+        doc, anchor, other, start, span, of = docs[of[at]], anchor[at], other[at], start[at], span[at], of[at]
+        order, _ = _equal_groups(anchor, other, doc)     # anchors that occur once have left the sort
+        doc, anchor, other, start, span, of = (x[order] for x in (doc, anchor, other, start, span, of))
+        kind = _kinds(anchor, other)
         later = doc > doc[np.searchsorted(kind, kind)]
-        edge = np.searchsorted(anchor, anchor), np.searchsorted(anchor, anchor, "right") - 1
-        several = kind[edge[0]] != kind[edge[1]]         # the anchor has runs of several kinds
+        several = kind[np.searchsorted(anchor, anchor)] != kind[np.searchsorted(anchor, anchor, "right") - 1]
         take = later | several
-        length = np.where(later, span.astype(np.int64) + depth - 1, span)
-        return pa.concat_tables([removed, _found(doc[take], key[take], np.where(later, 0, 1)[take], start[take].astype(np.int64), length[take].astype(np.int64))])
+        return pa.concat_tables([removed, _found(doc[take], keys[of[take]], np.where(later, 0, 1)[take], start[take],
+                                                 np.where(later, span + depth - 1, span)[take])])
 
     return run
 
 
-def _marks(blobs: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(b, "<u4").reshape(2, -1) for b in blobs or ()]
-    both = np.concatenate(parts, axis=1).astype(np.int64) if parts else np.zeros((2, 0), np.int64)
-    return both[0], both[1]
-
-
 def second_digit(depth: int, gram: int, shards: int, chunk: int):
-    """Task-side: documents (doc, key, text, marks of their runs) to blocks of single windows."""
+    """Task-side: documents (doc, key, text, marks of their runs) to blocks of the runs' bytes."""
     def run(batches):
         hasher = Hasher(chunk)
         for batch in batches:
             for part in pieces(batch, "text", chunk):
                 texts = texts_of(part.column(2))
-                base = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-                starts, docs, keys = [], [], []
-                for i, blobs in enumerate(part.column(3).to_pylist()):
-                    s, n = _marks(blobs)
-                    w = np.repeat(s - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    starts.append(w + base[i])
-                    docs.append(np.full(len(w), part.column(0)[i].as_py()))
-                    keys.append(np.full(len(w), part.column(1)[i].as_py()))
-                if not sum(map(len, starts)):
-                    continue
-                hasher.load(np.frombuffer(b"".join(texts), np.uint8))
-                start = np.concatenate(starts)
-                which = np.repeat(np.arange(len(texts)), [len(x) for x in starts])
-                h = hasher.of(start, start + depth)
-                # a second hash: of the window's first bytes, so that windows are compared by 128 bits
-                other = hasher.of(start, start + depth // 2)
-                rows = list(_emit(shards, np.concatenate(docs), np.concatenate(keys), h, other, start - base[which], np.ones(len(h))))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                                                  pa.array([r[2] for r in rows], pa.binary())], [n for n, _ in BLOCK])
+                base = np.cumsum([0] + [len(t) for t in texts])
+                marks = [_marks(b) for b in part.column(3).to_pylist()]
+                which = np.repeat(np.arange(len(texts)), [len(s) for s, _ in marks])
+                start, span = (np.concatenate(x) for x in zip(*marks))
+                joined = b"".join(texts)
+                g, place = anchors_of(hasher, texts, depth, gram)
+                to = (g[place[start + base[which]]] % np.uint64(shards)).astype(np.int64)
+                doc, key = (part.column(c).to_numpy()[which] for c in (0, 1))
+                order = np.lexsort((start, to))
+                rows = []
+                for some in np.split(order, np.nonzero(np.diff(to[order]))[0] + 1):
+                    size = span[some] + depth - 1
+                    first = (start + base[which])[some]
+                    body = b"".join([joined[a:a + n] for a, n in zip(first.tolist(), size.tolist())])
+                    rows.append((int(to[some[0]]), _pack((doc[some], 8), (key[some], 8), (start[some], 4), (span[some], 1)), zstandard.compress(body, 1)))
+                yield from _blocks(rows)
 
     return run
 
@@ -328,17 +339,22 @@ def second_digit(depth: int, gram: int, shards: int, chunk: int):
 def equal_windows(depth: int):
     """Reducer of the second digit: windows that also start in a smaller document."""
     def run(table: pa.Table) -> pa.Table:
-        doc, key, h, other, start, _ = _gather(table)
-        order, group = _equal_groups(h, other, doc)
-        doc, key, start = doc[order], key[order], start[order].astype(np.int64)
-        later = np.zeros(len(doc), bool)
-        if len(doc):
-            h, other = h[order], other[order]
-            kind = np.zeros(len(doc), np.int64)
-            kind[1:] = np.cumsum((h[1:] != h[:-1]) | (other[1:] != other[:-1]))
-            later = doc > doc[np.searchsorted(kind, kind)]
-        n = int(later.sum())
-        return _found(doc[later], key[later], np.zeros(n, np.int64), start[later], np.full(n, depth, np.int64))
+        doc, key, start, span = (np.concatenate(x) for x in zip(*(_unpack(h, 8, 8, 4, 1) for h in table["heads"].to_pylist())))
+        doc, key, start, span = doc.view(np.int64), key.view(np.int64), start.astype(np.int64), span.astype(np.int64)
+        hasher = Hasher()
+        hasher.load(np.frombuffer(b"".join(map(zstandard.decompress, table["body"].to_pylist())), np.uint8))
+        base = np.cumsum(span + depth - 1) - (span + depth - 1)
+        run_of = np.repeat(np.arange(len(span)), span)
+        inside = np.arange(len(run_of)) - np.repeat(np.cumsum(span) - span, span)
+        at = base[run_of] + inside
+        h = hasher.of(at, at + depth)
+        order, _ = _equal_groups(h, doc[run_of])
+        h, run_of, inside = h[order], run_of[order], inside[order]
+        kind = _kinds(h)
+        d = doc[run_of]
+        later = d > d[np.searchsorted(kind, kind)]
+        r = run_of[later]
+        return _found(doc[r], key[r], np.zeros(len(r), np.int64), start[r] + inside[later], np.full(len(r), depth, np.int64))
 
     return run
 
@@ -368,16 +384,17 @@ def cut_out(batches):
 
 
 def repeated_bytes(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
-                   chunk: int = CHUNK) -> DataFrame:
+                   chunk: int = CHUNK, flush_bytes: int = FLUSH) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256."""
     src = documents(docs).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("key"), "text")
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = parts_for(total, shard_bytes)
-    found = stored(src.mapInArrow(first_digit(depth, gram, shards, chunk), BLOCK_SQL)
+    found = stored(src.mapInArrow(first_digit(depth, gram, shards, chunk, flush_bytes), BLOCK_SQL)
                    .groupBy("shard").applyInArrow(equal_runs(depth), FOUND_SQL))
     more = found.filter("kind = 1").groupBy("doc", "key").agg(F.collect_list("marks").alias("marks"))
+    # src is shuffled by document once: the second join reuses the exchange of the first
     spread = (src.join(more, ["doc", "key"])
-              .mapInArrow(second_digit(depth, gram, shards, chunk), BLOCK_SQL)
+              .mapInArrow(second_digit(depth, gram, SPREAD * shards, chunk), BLOCK_SQL)
               .groupBy("shard").applyInArrow(equal_windows(depth), FOUND_SQL))
     gone = (found.filter("kind = 0").unionByName(spread).groupBy("doc", "key").agg(F.collect_list("marks").alias("marks")))
     return (src.join(gone, ["doc", "key"], "left")
