@@ -253,10 +253,26 @@ def q_buffer_main_day(spark, sf_dir):
 from shelfwise.operators import allocate  # noqa: E402
 
 
+_SNAPSHOTS: dict = {}
+
+
+def _snapshot(spark, sf_dir):
+    """State of day D, written once per session as the daily job writes it."""
+    from uuid import uuid4
+
+    from shelfwise.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SNAPSHOTS:
+        t, day = _ctx(spark, sf_dir)
+        path = f"{ensure_checkpoint_dir(spark)}/snapshots/{uuid4().hex}"
+        rollforward.buffer_main_day(t, day, t.buffer_calc_keys).write.parquet(path)
+        _SNAPSHOTS[key] = spark.read.parquet(path)
+    return _SNAPSHOTS[key]
+
+
 def _lines(spark, sf_dir):
     t, day = _ctx(spark, sf_dir)
-    snap = _cut(rollforward.buffer_main_day(t, day, t.buffer_calc_keys))
-    return allocate.allocation_lines(snap, t, day), t, day
+    return allocate.allocation_lines(_snapshot(spark, sf_dir), t, day), t, day
 
 
 @query("allocation_lines")

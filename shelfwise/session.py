@@ -8,14 +8,16 @@ folder lineage cuts and state are written under.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "shelfwise") -> SparkSession:
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "shelfwise",
+                  conf: dict | None = None) -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cores}]").appName(app)
+        SparkSession.builder.config(map=conf or {}).master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -45,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     if current:
         return current
-    if not sc.master.startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir="/tmp")   # one machine: tests and the bench
     spark.conf.set("spark.checkpoint.dir", d)
