@@ -56,10 +56,10 @@ def key_history(t: Tables, day: Day, keys: DataFrame | None = None) -> DataFrame
     """Rows of state per key before D (only its existence is used downstream)."""
     if t.key_registry is not None:
         return registered_keys(t, day, keys)
-    hist = state_rows(t, day).filter(F.col("date") < F.lit(day.d))
-    if keys is not None:
-        hist = hist.join(keys, KEY, "left_semi")
-    return hist.groupBy(*KEY).agg(F.count(F.lit(1)).alias("cnt_hist"))
+    # aggregated first: a task sends a key's rows as one count, not its days
+    hist = (state_rows(t, day).filter(F.col("date") < F.lit(day.d))
+            .groupBy(*KEY).agg(F.count(F.lit(1)).alias("cnt_hist")))
+    return hist if keys is None else hist.join(keys, KEY, "left_semi")
 
 
 def prev_state(t: Tables, day: Day, keys: DataFrame | None = None) -> DataFrame:
