@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.semantics import capped_ratio, fill_defaults, materialize, round_even, safe_div
+from shelfwise.functions.semantics import capped_ratio, fill_defaults, materialize, round_even
 from shelfwise.functions.series import ewma_last, exact_quantile
 from shelfwise.operators.demand import daily_sales
 from shelfwise.operators.history import FACTS, flag_days, history_by_key, key_calendar, stocks_by_cluster

@@ -1,7 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest test data."""
 
-import pytest
-
 from shelfwise.checks.compare import compare
 
 SF = "/root/testdata/sf0.001"
