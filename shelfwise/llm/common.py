@@ -31,19 +31,6 @@ def documents(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``documents`` with ``hi``, ``lo``: a 128-bit key of the row's id and text.
-
-    Rows with the same id and the same text have the same key and get the same
-    result, so repeated rows and null ids need no care in joins.
-    """
-    d = documents(docs)
-    digest = F.md5(F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                               F.col("text")))
-    return d.withColumn("hi", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")) \
-            .withColumn("lo", F.conv(F.substring(digest, 17, 15), 16, 10).cast("long"))
-
-
 def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each (one row at least)."""
     if not batch.num_rows:

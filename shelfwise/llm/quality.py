@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import WordTable, bounds_of, held_out, labelled_sample, map_texts, sigmoid, sums
+from shelfwise.llm.common import WordTable, bounds_of, held_out, labelled_sample, pieces, sigmoid, sums, texts_of
 from shelfwise.llm.fertility import SYMBOLS, repeated_lines, repeated_words
 from shelfwise.llm.toxicity import _adam
 
@@ -143,7 +143,6 @@ def _with_size(docs: DataFrame) -> DataFrame:
 
 def map_sized(docs: DataFrame, make, schema: str, keep: tuple = ("doc_id",)) -> DataFrame:
     """``map_texts`` for a function of texts and their n_chars column."""
-    from shelfwise.llm.common import pieces, texts_of
     names, kinds = [*keep, "text", "n_chars"], dict(docs.dtypes)
     out = [*keep, *[x.split()[0] for x in schema.split(", ")]]
 
