@@ -56,6 +56,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _powers(m: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, m, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, out=out)
+
+
 class Hasher:
     """64-bit hashes of substrings of one block of bytes, from prefix sums of random byte values."""
 
@@ -68,9 +74,7 @@ class Hasher:
     def _grow(self, n: int):
         if n >= len(self.power):
             n += n // 4
-            inv = pow(MULT, -1, 1 << 64)
-            self.power, self.inverse = (np.cumprod(np.array([1] + [m] * n, np.uint64), dtype=np.uint64)
-                                        for m in (MULT, inv))
+            self.power, self.inverse = (_powers(m, n) for m in (MULT, pow(MULT, -1, 1 << 64)))
 
     def load(self, data: np.ndarray):
         self._grow(len(data))
