@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.semantics import materialize
 
 #: Bytes of text handled at once inside a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

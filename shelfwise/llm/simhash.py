@@ -55,10 +55,9 @@ def fingerprints_of(words: int = SHINGLE):
             counts.append(n)
         bounds = bounds_of(counts)
         out = np.zeros((len(texts), 64), np.int64)
-        full = np.nonzero(np.diff(bounds))[0]
-        if len(full):
-            bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            out[full] = np.add.reduceat(bits, bounds[full], axis=0, dtype=np.int64)
+        bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        for k in np.nonzero(np.diff(bounds))[0]:      # one by one: sums of many rows at once would copy all bits eightfold
+            out[k] = bits[bounds[k]:bounds[k + 1]].sum(axis=0)
         packed = np.packbits(2 * out > np.array(counts)[:, None], axis=1)
         return [packed.copy().view(">u8").ravel().astype(np.uint64).view(np.int64)]
 
