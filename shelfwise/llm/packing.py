@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import WordTable, bounds_of, documents, pieces, stored, texts_of
 
 WINDOW, END = 2048, 1
+#: Bytes of text tokenised at once: new words are encoded in large lots.
+CHUNK = 4 << 20
 VOCABULARY = "word_bpe_49k.json"
 #: Texts of these characters alone are lower-cased and parted at white space before the vocabulary sees them,
 #: which changes no id: the vocabulary lower-cases and drops white space itself, and these characters are
@@ -108,7 +110,7 @@ def cut_pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -
         from pyspark import TaskContext
         task, encode, seen = TaskContext.get().partitionId(), tokenizer(path), np.zeros(window + 1, np.int64)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", CHUNK):
                 bounds, flat = encode(texts_of(part.column(1)))
                 rows, start, length, crc, total, rank = [], [], [], [], [], []
                 for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
