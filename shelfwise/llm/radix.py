@@ -20,7 +20,9 @@ document are removed.
 Records travel as packed columns, one block for each task and shard; a task merges equal texts
 and equal runs of its own documents first, so a copied text or a common passage reaches a shard
 once per flush at most.  Runs are compared by 40 bits of the anchor's hash beside those that the
-shard fixes, and 40 of their bytes' hash; windows by 64 bits among runs of one shard.  Texts are
+shard fixes, and all 64 of their bytes' hash: among m kinds of run under one anchor, m * m / 2**65
+pairs of different ones are expected to pass as equal (2.4e-7 for 3 million kinds).  Windows are
+grouped by 64 bits and then compared byte by byte.  Texts are
 joined by (doc_id, hash of the text), which no group of copies shares, and shuffled once.
 
 Defined cases: a null or empty text has 0 bytes and nothing removed; texts shorter than
@@ -157,7 +159,7 @@ def _emit(shards: int, doc, key, anchor, other, start, span):
         d, k = doc[a:b], key[a:b]
         first = np.nonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))[0]
         heads = _pack((_steps(d[first]), 8), (k[first], 8), (np.diff(np.append(first, b - a)), 4))
-        yield s, heads, _pack((anchor[a:b] // np.uint64(shards), 5), (other[a:b], 5), (_steps(start[a:b]), 4), (span[a:b], 1))
+        yield s, heads, _pack((anchor[a:b] // np.uint64(shards), 5), (other[a:b], 8), (_steps(start[a:b]), 4), (span[a:b], 1))
 
 
 def _heads(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,7 +176,7 @@ def _heads(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _runs(blobs: list[bytes]) -> list[np.ndarray]:
     """anchor, other, start, span of the records of blocks."""
-    parts = [_unpack(b, 5, 5, 4, 1) for b in blobs]
+    parts = [_unpack(b, 5, 8, 4, 1) for b in blobs]
     if not parts:
         return [np.zeros(0, np.int64)] * 4
     start = np.concatenate([np.cumsum(p[2], dtype=np.uint64).astype(np.uint32) for p in parts])
@@ -340,13 +342,32 @@ def second_digit(depth: int, gram: int, shards: int, chunk: int):
     return run
 
 
+def _by_bytes(data: np.ndarray, at: np.ndarray, kind: np.ndarray, depth: int, most: int = 1 << 20) -> np.ndarray:
+    """Number of each window's group of equal bytes, from the sorted number of its group of equal hashes."""
+    differ, n = [np.zeros(0, np.int64)], min(8, depth)
+    eights = np.ndarray((max(0, len(data) - n + 1),), "<u8" if n == 8 else f"V{n}", data, 0, (1,)) if len(data) >= n else None
+    for a in range(0, len(at) - 1, most):
+        left = a + np.nonzero(kind[a + 1:a + 1 + most] == kind[a:a + most][:len(kind) - 1 - a])[0]
+        same = np.ones(len(left), bool)
+        for k in range(0, depth, 8):
+            k = min(k, depth - n)       # the last eight bytes may overlap those before
+            same &= eights[at[left] + k] == eights[at[left + 1] + k]
+        differ.append(kind[left[~same]])
+    bad = np.unique(np.concatenate(differ))
+    if len(bad):        # different windows with one hash: their bytes name the groups
+        kind, names = kind.copy(), {}
+        for i in np.nonzero(np.isin(kind, bad))[0].tolist():
+            kind[i] = names.setdefault(data[at[i]:at[i] + depth].tobytes(), len(at) + len(names))
+    return kind
+
+
 def equal_windows(depth: int):
     """Reducer of the second digit: windows that also start in a smaller document."""
     def run(table: pa.Table) -> pa.Table:
         doc, key, start, span = (np.concatenate(x) for x in zip(*(_unpack(h, 8, 8, 4, 1) for h in table["heads"].to_pylist())))
         doc, key, start, span = doc.view(np.int64), key.view(np.int64), start.astype(np.int64), span.astype(np.int64)
-        hasher = Hasher()
-        hasher.load(np.frombuffer(b"".join(map(zstandard.decompress, table["body"].to_pylist())), np.uint8))
+        hasher, data = Hasher(), np.frombuffer(b"".join(map(zstandard.decompress, table["body"].to_pylist())), np.uint8)
+        hasher.load(data)
         base = np.cumsum(span + depth - 1) - (span + depth - 1)
         run_of = np.repeat(np.arange(len(span)), span)
         inside = np.arange(len(run_of)) - np.repeat(np.cumsum(span) - span, span)
@@ -354,8 +375,11 @@ def equal_windows(depth: int):
         h = hasher.of(at, at + depth)
         order, _ = _equal_groups(h, doc[run_of])
         h, run_of, inside = h[order], run_of[order], inside[order]
-        kind = _kinds(h)
+        kind = _by_bytes(data, base[run_of] + inside, _kinds(h), depth)
         d = doc[run_of]
+        if len(kind) and kind.max() >= len(kind):
+            order, _ = _equal_groups(kind, d)
+            kind, d, run_of, inside = kind[order], d[order], run_of[order], inside[order]
         later = d > d[np.searchsorted(kind, kind)]
         r = run_of[later]
         return _found(doc[r], key[r], np.zeros(len(r), np.int64), start[r] + inside[later], np.full(len(r), depth, np.int64))

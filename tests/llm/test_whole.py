@@ -2,6 +2,8 @@
 
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -42,3 +44,28 @@ def test_short_line_after_a_long_one(spark):
     long = "a paragraph of many words " * 12
     docs = spark.createDataFrame([(k, f"{long}\nshort tail\nown line {k}") for k in (1, 2)], "doc_id long, text string")
     assert [r[1:4] for r in dedup(docs)] == [(3, 0, 0), (3, 2, 1)]
+
+
+def test_runs_of_bytes_are_told_apart_by_64_bits():
+    """Runs of one anchor whose hashes agree in the lowest 40 bits alone are not equal."""
+    from shelfwise.llm import radix
+    column = lambda *x: np.array(x, np.uint64)
+    blocks = [b for doc, other in ((1, 5), (2, 5 + (1 << 40)), (3, 5))
+              for b in radix._emit(1, column(doc), column(0), column(9), column(other), column(0), column(4))]
+    table = pa.Table.from_batches(list(radix._blocks(blocks)))
+    got = {(r["doc"], r["kind"]) for r in radix.equal_runs(50)(table).to_pylist()}
+    assert got == {(1, 1), (2, 1), (3, 0)}           # 1 and 2 go on, 3 repeats 1
+
+
+def test_windows_of_one_hash_are_compared_by_bytes(monkeypatch):
+    import zstandard
+
+    from shelfwise.llm import radix
+    texts = [b"a" * 52, b"b" * 52, b"a" * 51 + b"c", b"c" + b"b" * 51]
+    rows = [(0, radix._pack((np.array([k], np.uint64), 8), (np.zeros(1, np.uint64), 8), (np.zeros(1, np.uint64), 4), (np.array([3], np.uint64), 1)),
+             zstandard.compress(t, 1)) for k, t in enumerate(texts)]
+    table = pa.Table.from_batches(list(radix._blocks(rows)))
+    want = radix.equal_windows(50)(table).to_pylist()
+    monkeypatch.setattr(radix.Hasher, "of", lambda self, start, end: np.zeros(len(start), np.uint64))
+    assert sorted(map(str, radix.equal_windows(50)(table).to_pylist())) == sorted(map(str, want))
+    assert {r["doc"]: np.frombuffer(r["marks"], "<u4").tolist() for r in want} == {2: [0, 51], 3: [1, 51]}
