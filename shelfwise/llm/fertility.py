@@ -38,8 +38,8 @@ MEASURES = ["chars_per_token", "byte_share", "entropy", "bytes_per_token"]
 #: Least distance of a band's edge from the median, by measure.
 FLOOR = {"chars_per_token": 0.05, "byte_share": 0.05, "entropy": 0.2, "bytes_per_token": 0.05}
 WIDTH, LEAST = 6.0, 50
-#: Documents with fewer words than this are judged by the base rules alone: their measures scatter.
-MEASURED_WORDS, STEADY_WORDS = 40, 200
+#: Documents with fewer words than this have wider bands: their measures scatter.
+STEADY_WORDS = 200
 #: Bands up to this number are broadcast.
 FEW_BANDS = 10_000
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, "
@@ -206,8 +206,7 @@ def quality_rules(docs: DataFrame, folder: str | None = None, width: float = WID
                   .withColumn("band", F.coalesce("lang", F.concat(F.lit("script:"), "script")))
                   .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) |
                               (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))))
-    judged = ~F.col("base_failed") & (F.col("n_words") >= MEASURED_WORDS)
-    edges = stored(bands(seen.filter(judged), width, least))
+    edges = stored(bands(seen.filter(~F.col("base_failed")), width, least))
     if edges.count() <= FEW_BANDS:      # else a join that shuffles, with a language's rows split where they are skewed
         edges = F.broadcast(edges)
     scatter = F.greatest(F.lit(1.0), F.sqrt(STEADY_WORDS / F.col("n_words")))
@@ -217,4 +216,4 @@ def quality_rules(docs: DataFrame, folder: str | None = None, width: float = WID
         outside = outside | F.coalesce((-off > scatter * F.col(f"{m}_less")) | (off > scatter * F.col(f"{m}_more")), F.lit(False))
     return seen.join(edges, "band", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~(judged & outside)).alias("kept"), "script", *MEASURES)
+        (~F.col("base_failed") & ~outside).alias("kept"), "script", *MEASURES)

@@ -1,5 +1,6 @@
 """Operators against their definitions, where an earlier version did less."""
 
+import random
 import re
 
 import numpy as np
@@ -69,3 +70,22 @@ def test_windows_of_one_hash_are_compared_by_bytes(monkeypatch):
     monkeypatch.setattr(radix.Hasher, "of", lambda self, start, end: np.zeros(len(start), np.uint64))
     assert sorted(map(str, radix.equal_windows(50)(table).to_pylist())) == sorted(map(str, want))
     assert {r["doc"]: np.frombuffer(r["marks"], "<u4").tolist() for r in want} == {2: [0, 51], 3: [1, 51]}
+
+
+def kept_by_fertility(spark, extra):
+    """doc_id: kept of 80 good English texts and the given (doc_id, text, lang)."""
+    from shelfwise.llm.fertility import quality_rules
+    rng = random.Random(5)
+    word = lambda: rng.choice("the and of river stone light winter morning garden window letter house".split())
+    good = [(k, " ".join(f"{word()} {word()}{100 + (7 * k + j) % 800}" for j in range(60)), "en") for k in range(80)]
+    out = quality_rules(spark.createDataFrame(good + extra, "doc_id long, text string, lang string"))
+    return {r.doc_id: r.kept for r in out.collect()}
+
+
+def junk(n_words, rng=random.Random(6)):
+    return " ".join("".join(rng.choice("qxzj~^{}☃ก") for _ in range(9)) for _ in range(n_words))
+
+
+def test_fertility_judges_short_texts(spark):
+    out = kept_by_fertility(spark, [(1000 + n, junk(n), "en") for n in (20, 25, 39)])
+    assert all(out[k] for k in range(80)) and not any(out[1000 + n] for n in (20, 25, 39))
