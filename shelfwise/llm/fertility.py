@@ -13,11 +13,13 @@ rejection band for each measure: the median of all its documents, less or more `
 times the distance from the median to the lower or upper quartile, and never tighter
 than ``FLOOR`` around the median.  Measures of short texts scatter, so the band of a text
 of n < ``STEADY_WORDS`` words is wider by sqrt(STEADY_WORDS / n).  Bands are aggregates over
-all documents.  A document outside any band is rejected.
+all documents.  A language with fewer than ``LEAST`` measured documents takes the bands of
+all documents of the text's script, and a script with fewer those of all documents, so that
+every document that passes the base rules is held against some band.  A document outside any
+band is rejected.
 
 Defined cases: null and empty texts have no words, fail the base rules, carry measures
-0 and leave the bands alone; a null lang uses the script; a language with fewer than
-``LEAST`` measured documents has no band and rejects nothing.
+0 and leave the bands alone; a null lang uses the script.
 """
 
 from __future__ import annotations
@@ -176,13 +178,22 @@ def measure(folder: str | None):
 
 
 def bands(measured: DataFrame, width: float = WIDTH, least: int = LEAST) -> DataFrame:
-    """band (language or script), n, and the median and both half widths of each measure, from all measured documents."""
+    """n, and the median and both half widths of each measure, for each band (language or script of those without one) and script.
+
+    They come from all measured documents of the band, or of the script where the band has fewer than ``least``, or from all.
+    """
     aggs = [F.count("*").alias("n")]
     for m in MEASURES:
         p = F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000)
         aggs += [p[1].alias(f"{m}_mid"), F.greatest(F.lit(FLOOR[m]), width * (p[1] - p[0])).alias(f"{m}_less"),
                  F.greatest(F.lit(FLOOR[m]), width * (p[2] - p[1])).alias(f"{m}_more")]
-    return measured.groupBy("band").agg(*aggs).filter(F.col("n") >= least)
+    wider = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), c.alias("group")) for k, c in
+                                enumerate((F.col("band"), F.col("script"), F.lit("")))])).alias("of")
+    groups = (measured.select(wider, *MEASURES).groupBy("of").agg(*aggs)
+              .filter((F.col("of.level") == 2) | (F.col("n") >= least)))
+    found = measured.select("band", "script").distinct().select("band", "script", wider).join(groups, "of")
+    edges = F.struct(*[c for c in groups.columns if c != "of"])
+    return found.groupBy("band", "script").agg(F.min_by(edges, F.col("of.level")).alias("e")).select("band", "script", "e.*")
 
 
 def quality_rules(docs: DataFrame, folder: str | None = None, width: float = WIDTH, least: int = LEAST) -> DataFrame:
@@ -214,6 +225,6 @@ def quality_rules(docs: DataFrame, folder: str | None = None, width: float = WID
     for m in MEASURES:
         off = F.col(m) - F.col(f"{m}_mid")
         outside = outside | F.coalesce((-off > scatter * F.col(f"{m}_less")) | (off > scatter * F.col(f"{m}_more")), F.lit(False))
-    return seen.join(edges, "band", "left").select(
+    return seen.join(edges, ["band", "script"], "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~outside).alias("kept"), "script", *MEASURES)

@@ -89,3 +89,9 @@ def junk(n_words, rng=random.Random(6)):
 def test_fertility_judges_short_texts(spark):
     out = kept_by_fertility(spark, [(1000 + n, junk(n), "en") for n in (20, 25, 39)])
     assert all(out[k] for k in range(80)) and not any(out[1000 + n] for n in (20, 25, 39))
+
+
+def test_fertility_judges_small_groups(spark):
+    """A language or script of few documents is held against wider groups."""
+    out = kept_by_fertility(spark, [(1000, junk(60), "xx"), (1001, junk(60), None), (1002, "☃ก" * 9 + (" " + "ก☃ก^~" * 2) * 40, "yy")])
+    assert all(out[k] for k in range(80)) and not any(out[1000 + k] for k in range(3))
