@@ -29,8 +29,8 @@ BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Bound of the training sample, for each class.
 PER_CLASS = 2000
 EPOCHS, BATCH, RATE = 12, 128, 0.05
-#: Subwords in fewer documents of the sample are left out of training and add nothing to a score.
-MIN_DOCS = 10
+#: The vector of a subword in d documents of the sample counts d / (d + STEADY_DOCS): rare ones are held back, none is left out.
+STEADY_DOCS = 10
 MOD, REST, THRESHOLD = 4, 2, 0.3
 #: Documents are long and the words that matter few, so means are small: they are scaled before the softmax.
 SCALE = 100.0
@@ -95,11 +95,10 @@ def _adam(params: list[np.ndarray]):
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
     """Joint training on (buckets, counts, label); returns each bucket's embedding times the softmax difference, and the intercept."""
-    often = np.zeros(BUCKETS, np.int64)
+    often = np.zeros(BUCKETS, np.int64)                    # documents with each bucket; without any there is nothing to learn
     for r in rows:
         often[r[0]] += 1
-    often = often >= MIN_DOCS
-    rows = [(b[often[b]], c[often[b]], y) for b, c, y in rows]
+    trust = often / (often + STEADY_DOCS)
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     soft, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -110,7 +109,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tupl
             some = [rows[i] for i in order[at:at + BATCH]]
             y = np.array([r[2] for r in some])
             idx, doc = np.concatenate([r[0] for r in some]), np.repeat(np.arange(len(some)), [len(r[0]) for r in some])
-            share = np.concatenate([r[1] / max(1, r[1].sum()) for r in some]).astype(np.float32)
+            share = np.concatenate([trust[r[0]] * r[1] / max(1, r[1].sum()) for r in some]).astype(np.float32)
             mean = np.stack([np.bincount(doc, weights=embed[idx, k] * share, minlength=len(some)) for k in range(DIM)], 1)
             logit = SCALE * mean @ soft + bias
             p = np.exp(logit - logit.max(1, keepdims=True))
@@ -120,7 +119,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tupl
             back = SCALE * (p @ soft.T)
             grad = np.stack([np.bincount(idx, weights=back[doc, k] * share, minlength=BUCKETS) for k in range(DIM)], 1)
             step([grad, SCALE * mean.T @ p, p.sum(0)], RATE * (1 - epoch / EPOCHS))
-    return np.where(often, SCALE * embed @ (soft[:, 1] - soft[:, 0]), 0.0), float(bias[1] - bias[0])
+    return SCALE * trust * (embed @ (soft[:, 1] - soft[:, 0])), float(bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = MOD, rest: int = REST,

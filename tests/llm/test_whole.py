@@ -95,3 +95,11 @@ def test_fertility_judges_small_groups(spark):
     """A language or script of few documents is held against wider groups."""
     out = kept_by_fertility(spark, [(1000, junk(60), "xx"), (1001, junk(60), None), (1002, "☃ก" * 9 + (" " + "ก☃ก^~" * 2) * 40, "yy")])
     assert all(out[k] for k in range(80)) and not any(out[1000 + k] for k in range(3))
+
+
+def test_rare_subwords_are_learnt():
+    """A subword that marks 4 toxic documents has a weight, one that no document has does not."""
+    from shelfwise.llm.toxicity import train
+    rows = [(np.array([1, 2, *([5] if k < 4 else [])], np.int32), np.ones(3 if k < 4 else 2, np.int32), int(k < 4)) for k in range(40)]
+    weights, _ = train(rows)
+    assert weights[5] > 0 and weights[6] == 0
