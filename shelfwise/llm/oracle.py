@@ -39,9 +39,8 @@ WITH line AS MATERIALIZED (
 full_line AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS p, lead(x) OVER (PARTITION BY doc_id ORDER BY pos) AS y
   FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
-run AS (SELECT doc_id, p, CASE WHEN length(x) >= 250 THEN 1 ELSE 2 END AS n,
-               CASE WHEN length(x) >= 250 THEN x ELSE x || chr(10) || y END AS lines
-        FROM full_line WHERE length(x) >= 250 OR y IS NOT NULL),
+run AS (SELECT doc_id, p, 2 AS n, x || chr(10) || y AS lines FROM full_line WHERE y IS NOT NULL
+        UNION ALL SELECT doc_id, p, 1, x FROM full_line WHERE length(x) >= 250),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY n, lines ORDER BY doc_id, p) AS copy FROM run),
 gone AS MATERIALIZED (SELECT DISTINCT doc_id, p + unnest(range(n)) AS p FROM ranked WHERE copy > 1),
 runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS DISTINCT FROM p - 1) AS n_runs

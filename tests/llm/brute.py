@@ -89,25 +89,27 @@ def components(fps, ids):
 
 
 def op5(docs, min_lines, min_chars):
-    """(doc_id, lines, removed, runs, kept text) of each row; equal rows are one document."""
-    blank = lambda x: not re.search(r"[^\x20\x09-\x0D]", x)
-    first, own = {}, {}
-    for d in sorted(set(docs), key=lambda r: (order(r[0]), r[1] or "")):
-        lines = (d[1] or "").split("\n")
-        at = [j for j, x in enumerate(lines) if not blank(x)]
-        for p in range(len(at)):
-            w = (lines[at[p]],) if len(lines[at[p]]) >= min_chars else tuple(lines[j] for j in at[p:p + min_lines])
-            if len(w) == min_lines or len(w[0]) >= min_chars:
-                own.setdefault(d, []).append((p, w))
-                first.setdefault(w, (d, p))
+    """(doc_id, lines, removed, runs, kept text) of each row; equal rows are one document.
+
+    From the definition: every run of min_lines lines that are not blank, and besides it every
+    line of min_chars characters alone; all occurrences but the first go.
+    """
+    filled = {d: [j for j, x in enumerate((d[1] or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)] for d in set(docs)}
+    first, own = {}, {d: [] for d in filled}
+    for d in sorted(filled, key=lambda r: (order(r[0]), r[1] or "")):
+        text = (d[1] or "").split("\n")
+        lines = [text[j] for j in filled[d]]
+        for p in range(len(lines)):
+            for n in {min_lines, *([1] if len(lines[p]) >= min_chars else [])}:
+                if p + n <= len(lines):
+                    own[d].append((p, tuple(lines[p:p + n])))
+                    first.setdefault(own[d][-1][1], (d, p))
     out = []
     for d in docs:
+        gone = {q for p, w in own[d] if first[w] != (d, p) for q in range(p, p + len(w))}
+        cut = {filled[d][q] for q in gone}
         lines = (d[1] or "").split("\n")
-        at = [j for j, x in enumerate(lines) if not blank(x)]
-        gone = {q for p, w in own.get(d, ()) if first[w] != (d, p) for q in range(p, p + len(w))}
-        cut = {at[q] for q in gone}
-        out.append((d[0], len(lines), len(gone), sum(q - 1 not in gone for q in gone),
-                    "\n".join(x for j, x in enumerate(lines) if j not in cut)))
+        out.append((d[0], len(lines), len(gone), sum(q - 1 not in gone for q in gone), "\n".join(x for j, x in enumerate(lines) if j not in cut)))
     return out
 
 

@@ -1,7 +1,6 @@
 """Operators against their definitions, where an earlier version did less."""
 
 import random
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -10,26 +9,6 @@ import pytest
 import brute
 
 
-def line_runs(docs, min_lines, min_chars):
-    """As brute.op5, from the definition: every run of min_lines lines, and every long line."""
-    filled = {d: [j for j, x in enumerate((d[1] or "").split("\n")) if re.search(r"[^\x20\x09-\x0D]", x)] for d in set(docs)}
-    first, own = {}, {d: [] for d in filled}
-    for d in sorted(filled, key=lambda r: (brute.order(r[0]), r[1] or "")):
-        lines = [(d[1] or "").split("\n")[j] for j in filled[d]]
-        for p in range(len(lines)):
-            for n in {min_lines, *([1] if len(lines[p]) >= min_chars else [])}:
-                if p + n <= len(lines):
-                    own[d].append((p, tuple(lines[p:p + n])))
-                    first.setdefault(own[d][-1][1], (d, p))
-    out = []
-    for d in docs:
-        gone = {q for p, w in own[d] if first[w] != (d, p) for q in range(p, p + len(w))}
-        cut = {filled[d][q] for q in gone}
-        lines = (d[1] or "").split("\n")
-        out.append((d[0], len(lines), len(gone), sum(q - 1 not in gone for q in gone), "\n".join(x for j, x in enumerate(lines) if j not in cut)))
-    return out
-
-
 def dedup(docs, *limits):
     from shelfwise.llm.linededup import dedup_lines
     return sorted((tuple(r) for r in dedup_lines(docs, *limits).collect()), key=str)
@@ -37,7 +16,7 @@ def dedup(docs, *limits):
 
 @pytest.mark.parametrize("min_lines, min_chars", [(2, 250), (3, 40), (1, 250)])
 def test_line_runs_by_definition(corpus, rows, min_lines, min_chars):
-    assert dedup(corpus, min_lines, min_chars) == sorted(((*r[:4], brute.sha(r[4])) for r in line_runs(rows, min_lines, min_chars)), key=str)
+    assert dedup(corpus, min_lines, min_chars) == sorted(((*r[:4], brute.sha(r[4])) for r in brute.op5(rows, min_lines, min_chars)), key=str)
 
 
 def test_short_line_after_a_long_one(spark):
