@@ -57,5 +57,21 @@ def op10_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.clusters import clustered
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.resample import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.exactdedup import duplicates
+    return duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_fertility, op2_toxicity, op3_positional_index, op4_simhash, op5_line_runs,
-                                   op6_personal_data, op7_packing, op8_secrets, op9_quality, op10_radix)}
+                                   op6_personal_data, op7_packing, op8_secrets, op9_quality, op10_radix,
+                                   op11_ns_clusters, op12_resample, op13_exact)}
