@@ -82,13 +82,23 @@ def demand_target(t: Tables, day: Day, keys: DataFrame) -> DataFrame:
 
 def demand_target_sparse(t: Tables, day: Day, keys: DataFrame) -> DataFrame:
     """Sparse plan: same result from the days with sales only."""
-    p = day.p
-    n = p.window_days
-    decay = 1.0 - p.alpha
+    n = day.p.window_days
     sold = (daily_sales(t, day, keys, day.window_start, day.window_end, hi_inclusive=True)
             .select(*KEY, F.datediff(F.lit(day.window_end), F.col("date")).alias("age"),
                     F.col("quantity_orders").cast("double").alias("qty")))
     obs = sold.groupBy(*KEY).agg(F.collect_list(F.struct("age", "qty")).alias("obs"))
+    out = targets_from_observations(obs, day).select(*KEY, *DEMAND_COLUMNS)
+    # keys without a single sale in the window: all-zero series
+    return fill_defaults(keys.select(*KEY).join(out, KEY, "left"),
+                         {"n_days": F.lit(n).cast("bigint"), "p90_win": 0.0, "avg_qty_ewma": 0.0, "s2_cap": 0.0,
+                          "buf_target_toc": 0.0, "buf_target_norm": 0.0})
+
+
+def targets_from_observations(df: DataFrame, day: Day) -> DataFrame:
+    """``df`` with the demand columns, from its array ``obs`` of (age, qty) of the window's days with sales."""
+    p = day.p
+    n = p.window_days
+    decay = 1.0 - p.alpha
     m = F.size("obs")
     padded = F.array_sort(F.concat(F.transform("obs", lambda x: x["qty"]),
                                    F.array_repeat(F.lit(0.0), F.lit(n) - m)))
@@ -104,13 +114,9 @@ def demand_target_sparse(t: Tables, day: Day, keys: DataFrame) -> DataFrame:
     ewma_num = total(lambda x: cap(x) * w(x)) + zero_cap * (F.lit(w_total) - total(w))
     sum_cap = total(cap) + zero_cap * (F.lit(n) - m)
     sum_cap2 = total(lambda x: cap(x) * cap(x)) + zero_cap * zero_cap * (F.lit(n) - m)
-    out = (obs.withColumn("p90_win", linear_quantile(padded, F.lit(n), p.cap_q))
+    out = (df.withColumn("p90_win", linear_quantile(padded, F.lit(n), p.cap_q))
            .withColumn("avg_qty_ewma", ewma_num * F.lit(p.alpha) / F.lit(1.0 - decay ** n))
            .withColumn("m_cap", sum_cap / F.lit(float(n)))
            .withColumn("s2_cap", sum_cap2 / F.lit(float(n)) - F.col("m_cap") * F.col("m_cap"))
            .withColumn("n_days", F.lit(n).cast("bigint")))
-    out = _targets(out, day).select(*KEY, *DEMAND_COLUMNS)
-    # keys without a single sale in the window: all-zero series
-    return fill_defaults(keys.select(*KEY).join(out, KEY, "left"),
-                         {"n_days": F.lit(n).cast("bigint"), "p90_win": 0.0, "avg_qty_ewma": 0.0, "s2_cap": 0.0,
-                          "buf_target_toc": 0.0, "buf_target_norm": 0.0})
+    return _targets(out, day)

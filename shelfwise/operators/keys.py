@@ -126,10 +126,11 @@ def registered_keys(t: Tables, day: Day, keys: DataFrame | None = None) -> DataF
     return reg.select(*KEY).distinct().withColumn("cnt_hist", F.lit(1).cast("bigint"))
 
 
-def new_registry_rows(t: Tables, day: Day, main_d: DataFrame) -> DataFrame:
-    """Keys with state on D that the registry does not know before D (first_date = D)."""
-    known = t.key_registry.filter((F.col("id_ver") == day.p.id_ver) & (F.col("first_date") < F.lit(day.d)))
-    return (main_d.select(*KEY).distinct().join(known.select(*KEY), KEY, "left_anti")
+def new_registry_rows(calc_keys: DataFrame, day: Day, main_d: DataFrame) -> DataFrame:
+    """Keys with state on D that had none before: those of the first-init route, which the decision chose by that."""
+    first = (calc_keys.filter((F.col("date") == F.lit(day.d)) & (F.col("id_ver") == day.p.id_ver) & (F.col("calc_type") == "first_init"))
+             .select(*KEY))
+    return (main_d.join(first, KEY, "left_semi").select(*KEY).distinct()
             .select(F.lit(day.p.id_ver).alias("id_ver"), *KEY, F.lit(day.d).alias("first_date")))
 
 

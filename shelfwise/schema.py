@@ -48,3 +48,13 @@ CALC_KEYS_COLUMNS = [f.name for f in CALC_KEYS.fields]
 BUFFER_SUPPLIES_COLUMNS = [f.name for f in BUFFER_SUPPLIES.fields]
 
 KEY_REGISTRY = _struct([("id_ver", _I)] + _KEY_FIELDS + [("first_date", _DT)])
+
+#: Key of the latest state row (the report's), and that row with the date it is known for.
+CURRENT_KEY = ["mp", "seller", "cluster_to", "sku"]
+BUFFER_CURRENT = T.StructType([*BUFFER_MAIN.fields, T.StructField("as_of", _DT, True)])
+
+_AL = T.ArrayType(_L, True)
+
+#: One row per active key: a slot for each day of the window that ends on ``date``.
+BUFFER_RING = _struct([("id_ver", _I), ("date", _DT)] + _KEY_FIELDS
+                      + [("known", T.BooleanType()), ("last_sold", _DT), ("bt", _AL), ("stock", _AL), ("quantity", _AL)])

@@ -30,6 +30,7 @@ class Tables:
     dimensions: Optional[DataFrame] = None       # size marks
     buffer_calc_keys: Optional[DataFrame] = None  # state: decisions per (id_ver, date, KEY)
     key_registry: Optional[DataFrame] = None      # state: (id_ver, KEY, first_date) of every key with state
+    buffer_ring: Optional[DataFrame] = None       # state: the window up to the day before, one row per active key
 
     def with_state(self, **kw) -> "Tables":
         return replace(self, **kw)
@@ -44,6 +45,18 @@ TABLE_NAMES = (
 OPTIONAL = {"buffer_main", "buffer_supplies", "buffer_calc_keys", "goods_supplies", "supplies_list",
             "import_supplies", "dimensions"}
 
+#: What the report reads of them where they are absent: empty tables.
+ABSENT = {"goods_supplies": "date date, supply_id string, mp string, seller string, article_1c string, code_1c string, quantity bigint",
+          "supplies_list": "supply_id string, fc_warehouse string",
+          "import_supplies": "article_1c string, code_1c string, quantity bigint",
+          "dimensions": "article_1c string, sku string, seller string, mp string, mark_mp string"}
+
+
+def with_absent(t: Tables) -> Tables:
+    """``t`` with empty tables in place of the report's absent ones."""
+    spark = t.sales.sparkSession
+    return t.with_state(**{n: spark.createDataFrame([], s) for n, s in ABSENT.items() if getattr(t, n) is None})
+
 
 def read_tables(spark: SparkSession, root: str, state_root: Optional[str] = None) -> Tables:
     """Open the domain tables stored as ``{root}/{name}`` Parquet datasets.
