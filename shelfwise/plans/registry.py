@@ -357,12 +357,88 @@ def q_planning_report(spark, sf_dir):
     return _report(spark, sf_dir).planning_report()
 
 
+_CURRENT: dict = {}
+
+
+def _current(spark, sf_dir):
+    """The latest state rows on D - 1, as the daily job keeps them up: started on D - 2, one day taken in."""
+    from datetime import timedelta
+
+    from shelfwise.operators.current import upsert
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CURRENT:
+        t, day = _ctx(spark, sf_dir)
+        store, two = _new_store(spark, "current"), day.prev - timedelta(days=1)
+        store.replace_day("buffer_current", report.latest_state(t, day, before=day.prev), day.p.id_ver, two)
+        today = keys.state_on(t, day, day.prev)
+        store.replace_day("buffer_current", upsert(store.bucketed("buffer_current", day.p.id_ver, two), today), day.p.id_ver, day.prev)
+        _CURRENT[key] = store
+    return _CURRENT[key]
+
+
 @query("latest_state")
 def q_latest_state(spark, sf_dir):
+    _, day = _ctx(spark, sf_dir)
+    return _current(spark, sf_dir).bucketed("buffer_current", day.p.id_ver, day.prev).drop("as_of")
+
+
+@query("latest_state_scan")
+def q_latest_state_scan(spark, sf_dir):
     t, day = _ctx(spark, sf_dir)
     return report.latest_state(t, day)
 
 
+# --- kept up by day, runs of days, windows per lane ---------------------------
+
+from shelfwise.operators import bounds, ring, runs  # noqa: E402
+
+
+@query("ring_decision")
+def q_ring_decision(spark, sf_dir):
+    """The routed keys of three days in a row, each from the ring of the day before and one day of state and sales."""
+    from functools import reduce
+    t, last = _ctx(spark, sf_dir)
+    days = [Day(last.minus(k), last.p) for k in (2, 1, 0)]
+    window, out = _cut(ring.ring_from_history(t, days[0], days[0].prev)), []
+    for day in days:
+        if out:
+            window = _cut(ring.advance(window, t, day, day.prev, keys.state_on(t, day, day.prev)))
+        out.append(ring.ring_calc_keys(t.with_state(buffer_ring=window), day))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("stock_runs")
+def q_stock_runs(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    return runs.stock_runs(t, day)
+
+
+def _first_init_runs(spark, sf_dir):
+    t, day = _ctx(spark, sf_dir)
+    new = init_buffer.route_keys(t.buffer_calc_keys, day, "first_init").select(*KEY).distinct()
+    return runs.oos_intervals(runs.stock_runs(t, day, new), day), day
+
+
+@query("oos_from_runs")
+def q_oos_from_runs(spark, sf_dir):
+    intervals, day = _first_init_runs(spark, sf_dir)
+    return runs.oos_days(intervals, day)
+
+
+@query("oos_counts_from_runs")
+def q_oos_counts_from_runs(spark, sf_dir):
+    return runs.oos_counts(_first_init_runs(spark, sf_dir)[0])
+
+
+@query("lane_zone_days")
+def q_lane_zone_days(spark, sf_dir):
+    """Zone days over windows of each lane's own length; the test lanes need 5 to 8 days."""
+    t, day = _ctx(spark, sf_dir)
+    number = lambda c: F.substring(c, 2, 9).cast("int")
+    lanes = t.sales.select(*bounds.LANE).distinct().withColumn("rt_days", 5 + (number("seller") + number("cluster_to")) % 4)
+    return bounds.lane_zone_days(t, day, keys.keys_today(t, day), lanes)
+
+
 # --- the whole day: decision -> routed state -> shipments (T22 without writes) --
 
 @query("daily_main")
@@ -381,29 +457,54 @@ def q_daily_supplies(spark, sf_dir):
 
 # --- the stored day: S10, S12, T22 through the state store --------------------
 
-def _stored(spark, sf_dir):
-    from datetime import timedelta
+_STORES: dict = {}
+
+
+def _new_store(spark, kind: str):
     from uuid import uuid4
 
-    from shelfwise.plans.daily import run_day, seed_store
     from shelfwise.session import ensure_checkpoint_dir
     from shelfwise.sources.state import StateStore
+    return StateStore(spark, f"{ensure_checkpoint_dir(spark)}/stores/{spark.sparkContext.applicationId}/{kind}-{uuid4().hex}")
+
+
+def _stored(spark, sf_dir):
+    """A store in which day D has run, one per session."""
+    from datetime import timedelta
+
+    from shelfwise.plans.daily import run_day, seed_store
+    key = (spark.sparkContext.applicationId, sf_dir)
     t, day = _ctx(spark, sf_dir)
-    store = StateStore(spark, f"{ensure_checkpoint_dir(spark)}/stores/{uuid4().hex}")
-    seed_store(store, t, day.d, since=day.d - timedelta(days=day.p.period))
-    run_day(t, store, day.d)
-    return store, day
+    if key not in _STORES:
+        store = _new_store(spark, "days")
+        seed_store(store, t, day.d, since=day.d - timedelta(days=day.p.period))
+        run_day(t, store, day.d)
+        _STORES[key] = store
+    return _STORES[key], t, day
 
 
 @query("stored_day")
 def q_stored_day(spark, sf_dir):
     from shelfwise.sources.state import snapshot
-    store, day = _stored(spark, sf_dir)
+    store, _, day = _stored(spark, sf_dir)
     return snapshot(store, day.p.id_ver, day.d)
 
 
 @query("stored_supplies")
 def q_stored_supplies(spark, sf_dir):
     from shelfwise.sources.state import snapshot
-    store, day = _stored(spark, sf_dir)
+    store, _, day = _stored(spark, sf_dir)
     return snapshot(store, day.p.id_ver, day.d, "buffer_supplies")
+
+
+@query("backfill_state")
+def q_backfill_state(spark, sf_dir):
+    """The state of three days in a row, each run on what the days before have stored."""
+    from datetime import timedelta
+
+    from shelfwise.plans.daily import backfill
+    store, t, day = _stored(spark, sf_dir)
+    last = day.d + timedelta(days=2)
+    if last not in store.dates("buffer_main", day.p.id_ver):
+        backfill(t, store, day.d + timedelta(days=1), last)
+    return store.read_between("buffer_main", day.p.id_ver, day.d, last)
