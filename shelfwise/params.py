@@ -38,6 +38,8 @@ class Params:
     b_mult: float = 1.0             # manual multiplier of the target buffer
     b_extra_days: float = 0.0       # extra days of cover on the target buffer
     advice_tol: float = 0.05        # advice tolerance around the current buffer
+    cluster_norm_days: int = 19     # full report: destination buffer, 7 days to the cluster + reserve of 7 + 5
+    central_norm_days: int = 75     # full report: central buffer, 35 days to the centre + reserve of 35 + 5
     lead_time_days: int = 7         # closing date = shipping date + this
     marketplaces: tuple = ("Ozon", "WB", "YM")
     resale_brand: str = "РЕСЕЙЛ"

@@ -357,6 +357,12 @@ def q_planning_report(spark, sf_dir):
     return _report(spark, sf_dir).planning_report()
 
 
+@query("central_order")
+def q_central_order(spark, sf_dir):
+    r = _report(spark, sf_dir)
+    return report.central_order(r.planning_report(), r.day)
+
+
 _CURRENT: dict = {}
 
 
