@@ -42,6 +42,8 @@ FLOOR = {"chars_per_token": 0.05, "byte_share": 0.05, "entropy": 0.2, "bytes_per
 WIDTH, LEAST = 6.0, 50
 #: Documents with fewer words than this have wider bands: their measures scatter.
 STEADY_WORDS = 200
+#: Measures are rounded to this step before their quartiles are taken.
+STEP = 1 / 4096
 #: Bands up to this number are broadcast.
 FEW_BANDS = 10_000
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, "
@@ -182,16 +184,19 @@ def bands(measured: DataFrame, width: float = WIDTH, least: int = LEAST) -> Data
 
     They come from all measured documents of the band, or of the script where the band has fewer than ``least``, or from all.
     """
-    aggs = [F.count("*").alias("n")]
-    for m in MEASURES:
-        p = F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000)
+    wider = F.array(*[F.struct(F.lit(k).alias("level"), c.alias("group")) for k, c in enumerate((F.col("band"), F.col("script"), F.lit("")))])
+    # counts of measures rounded to steps of STEP: their number is bounded, and quartiles of counts are exact in any order of rows
+    cells = F.array(*[F.struct(F.lit(k).alias("m"), F.round(F.col(m) / STEP).cast("long").alias("v")) for k, m in enumerate(MEASURES)])
+    counts = (measured.select(F.explode(wider).alias("of"), cells.alias("cells")).select("of", F.explode("cells").alias("c"))
+              .groupBy("of", "c.m", "c.v").agg(F.count("*").alias("often")))
+    quarters = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    aggs = [F.sum(F.when(F.col("m") == 0, F.col("often"))).alias("n")]
+    for k, m in enumerate(MEASURES):
+        p = F.percentile(F.when(F.col("m") == k, F.col("v") * STEP), quarters, F.col("often"))
         aggs += [p[1].alias(f"{m}_mid"), F.greatest(F.lit(FLOOR[m]), width * (p[1] - p[0])).alias(f"{m}_less"),
                  F.greatest(F.lit(FLOOR[m]), width * (p[2] - p[1])).alias(f"{m}_more")]
-    wider = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), c.alias("group")) for k, c in
-                                enumerate((F.col("band"), F.col("script"), F.lit("")))])).alias("of")
-    groups = (measured.select(wider, *MEASURES).groupBy("of").agg(*aggs)
-              .filter((F.col("of.level") == 2) | (F.col("n") >= least)))
-    found = measured.select("band", "script").distinct().select("band", "script", wider).join(groups, "of")
+    groups = counts.groupBy("of").agg(*aggs).filter((F.col("of.level") == 2) | (F.col("n") >= least))
+    found = measured.select("band", "script").distinct().select("band", "script", F.explode(wider).alias("of")).join(groups, "of")
     edges = F.struct(*[c for c in groups.columns if c != "of"])
     return found.groupBy("band", "script").agg(F.min_by(edges, F.col("of.level")).alias("e")).select("band", "script", "e.*")
 
