@@ -6,8 +6,15 @@ softmax are trained jointly (Adam, numpy) on at most ``PER_CLASS`` labelled docu
 each class, so an unseen misspelling shares the vectors of its character n-grams.  Class
 counts of all training labels correct the intercept for the balanced sample.
 
-The score is linear in the mean embedding, so a word adds one number (the sum over its
-subwords of embedding times softmax weights), computed once per distinct word and task.
+The average is weighted: a subword counts by the square of its standardised log odds, which
+compare the toxic and the clean documents of the sample that hold it.  A subword that is as
+frequent in both, or that one document alone has, weighs little against one that marks several
+toxic documents and no clean one, whatever the size of the table; none is left out, and a
+subword that the sample lacks weighs nothing.
+
+The score is linear in the mean embedding, so a word adds two numbers (the weight of its
+subwords, and the sum of their weighted embeddings times the softmax weights), computed once
+per distinct word and task.
 
 Defined cases: null and empty texts get the intercept's score; labels that are null or
 not 0 or 1 are left out, of repeated labels the largest counts; without both classes in
@@ -17,6 +24,7 @@ the training labels every score is the share of toxic ones (0 without labels).
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,8 +37,8 @@ BUCKETS, DIM, SIZES = 1 << 16, 4, (3, 4, 5)
 #: Bound of the training sample, for each class.
 PER_CLASS = 2000
 EPOCHS, BATCH, RATE = 12, 128, 0.05
-#: The vector of a subword in d documents of the sample counts d / (d + STEADY_DOCS): rare ones are held back, none is left out.
-STEADY_DOCS = 10
+#: Documents added to either class before log odds are taken, and the weight that every subword of the sample has besides.
+PRIOR, LEAST_WEIGHT = 1.0, 1e-3
 MOD, REST, THRESHOLD = 4, 2, 0.3
 #: Documents are long and the words that matter few, so means are small: they are scaled before the softmax.
 SCALE = 100.0
@@ -51,7 +59,7 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for n in SIZES:
         h = np.zeros(max(0, len(points) - n + 1), np.uint64)
         for k in range(n):
-            h = h * np.uint64(0x100000001B3) + points[k:len(points) - n + 1 + k]
+            h = h * np.uint64(0x100000001B3) + points[k:k + len(h)]
         ok = left[:len(h)] >= n
         hashes.append(h[ok] + np.uint64(n))
         of.append(word[:len(h)][ok])
@@ -93,12 +101,34 @@ def _adam(params: list[np.ndarray]):
     return step
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[np.ndarray, float]:
-    """Joint training on (buckets, counts, label); returns each bucket's embedding times the softmax difference, and the intercept."""
-    often = np.zeros(BUCKETS, np.int64)                    # documents with each bucket; without any there is nothing to learn
-    for r in rows:
-        often[r[0]] += 1
-    trust = often / (often + STEADY_DOCS)
+class Model(NamedTuple):
+    embed: np.ndarray        # buckets x DIM
+    soft: np.ndarray         # DIM x 2
+    bias: np.ndarray         # 2
+    weight: np.ndarray       # of each bucket in the average
+
+    def values(self) -> np.ndarray:
+        """What a subword adds to the score before it is divided by the weights."""
+        return SCALE * self.weight * (self.embed @ (self.soft[:, 1] - self.soft[:, 0]))
+
+    def intercept(self) -> float:
+        return float(self.bias[1] - self.bias[0])
+
+
+def subword_weights(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+    """Squared standardised log odds of each bucket's documents among toxic and clean ones; 0 for buckets of no document."""
+    docs = np.zeros((2, BUCKETS))
+    for buckets, _, label in rows:
+        docs[label][buckets] += 1
+    clean, toxic = docs + PRIOR
+    n0, n1 = (sum(r[2] == v for r in rows) + 2 * PRIOR for v in (0, 1))
+    z = np.log((toxic / n1) / (clean / n0)) / np.sqrt(1 / toxic + 1 / clean)
+    return np.where(docs.sum(0) > 0, z * z + LEAST_WEIGHT, 0.0)
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
+    """Joint training of embeddings and softmax on (buckets, counts, label)."""
+    weight = subword_weights(rows)
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     soft, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
@@ -109,7 +139,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tupl
             some = [rows[i] for i in order[at:at + BATCH]]
             y = np.array([r[2] for r in some])
             idx, doc = np.concatenate([r[0] for r in some]), np.repeat(np.arange(len(some)), [len(r[0]) for r in some])
-            share = np.concatenate([trust[r[0]] * r[1] / max(1, r[1].sum()) for r in some]).astype(np.float32)
+            part = [weight[r[0]] * r[1] for r in some]
+            share = np.concatenate([x / max(x.sum(), 1e-9) for x in part]).astype(np.float32)
             mean = np.stack([np.bincount(doc, weights=embed[idx, k] * share, minlength=len(some)) for k in range(DIM)], 1)
             logit = SCALE * mean @ soft + bias
             p = np.exp(logit - logit.max(1, keepdims=True))
@@ -119,17 +150,18 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tupl
             back = SCALE * (p @ soft.T)
             grad = np.stack([np.bincount(idx, weights=back[doc, k] * share, minlength=BUCKETS) for k in range(DIM)], 1)
             step([grad, SCALE * mean.T @ p, p.sum(0)], RATE * (1 - epoch / EPOCHS))
-    return SCALE * trust * (embed @ (soft[:, 1] - soft[:, 0])), float(bias[1] - bias[0])
+    return Model(embed, soft, bias, weight)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = MOD, rest: int = REST,
-        per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
-    """(weights, intercept) learnt from labelled rows outside the held-out fold."""
+        per_class: int = PER_CLASS) -> tuple[np.ndarray, np.ndarray, float]:
+    """(value and weight of each subword, intercept) learnt from labelled rows outside the held-out fold."""
+    nothing = np.zeros(BUCKETS), np.zeros(BUCKETS)
     counts = {r.y: r["count"] for r in labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(mod, rest))
               .groupBy(F.col(label).cast("int").alias("y")).count().collect()}
     if len(counts) < 2:
         p = min(max(counts.get(1, 0) / max(1, sum(counts.values())), 1e-9), 1 - 1e-9)
-        return np.zeros(BUCKETS), math.log(p / (1 - p))
+        return *nothing, math.log(p / (1 - p))
     sample = labelled_sample(docs, labels, label, mod, rest, per_class)
     got = map_texts(sample, bags, "buckets array<int>, counts array<int>", keep=("doc_id", "label")).toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")          # the order of rows is not fixed, their set is
@@ -139,30 +171,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = MOD
     del columns
     n = np.bincount([r[2] for r in rows], minlength=2)
     if not n.all():
-        return np.zeros(BUCKETS), math.log(counts[1] / counts[0])
-    weights, intercept = train(rows)
-    return weights, intercept + math.log(counts[1] / counts[0]) - math.log(n[1] / n[0])
+        return *nothing, math.log(counts[1] / counts[0])
+    model = train(rows)
+    return model.values(), model.weight, model.intercept() + math.log(counts[1] / counts[0]) - math.log(n[1] / n[0])
 
 
-def scorer(weights: np.ndarray, intercept: float):
+def scorer(values: np.ndarray, weights: np.ndarray, intercept: float):
     """Factory of the task-side function from texts to scores."""
     def make():
-        known, value, count = WordTable(), [np.zeros(0)], [np.zeros(0, np.int64)]
+        known, value, mass = WordTable(), [np.zeros(0)], [np.zeros(0)]
 
         def work(texts):
             if known.full():
                 known.clear()
-                value[0], count[0] = np.zeros(0), np.zeros(0, np.int64)
+                value[0], mass[0] = np.zeros(0), np.zeros(0)
             split = [t.split() for t in texts]
             bounds = bounds_of([len(w) for w in split])
             ids = known.ids([w for words in split for w in words])
             if known.new:
                 start, flat = subwords(known.new)
                 known.new.clear()
-                value[0] = np.concatenate([value[0], sums(weights[flat], start)])
-                count[0] = np.concatenate([count[0], sums((weights[flat] != 0).astype(np.int64), start)])   # as in training
-            total = np.add.reduceat(np.append(value[0][ids], 0.0), bounds[:-1]) * (np.diff(bounds) > 0)
-            return [sigmoid(total / np.maximum(1, sums(count[0][ids], bounds)) + intercept)]
+                value[0] = np.concatenate([value[0], sums(values[flat], start)])
+                mass[0] = np.concatenate([mass[0], sums(weights[flat], start)])
+            total, share = (np.add.reduceat(np.append(x[ids], 0.0), bounds[:-1]) * (np.diff(bounds) > 0) for x in (value[0], mass[0]))
+            return [sigmoid(np.where(share > 0, total / np.maximum(share, 1e-9), 0.0) + intercept)]
 
         return work
 
@@ -172,8 +204,7 @@ def scorer(weights: np.ndarray, intercept: float):
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mod: int = MOD, rest: int = REST,
              per_class: int = PER_CLASS) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted (1 if score >= threshold)."""
-    weights, intercept = fit(docs, labels, "toxic", mod, rest, per_class)
-    return (map_texts(documents(docs), scorer(weights.astype(np.float32), intercept), "score double")
+    return (map_texts(documents(docs), scorer(*fit(docs, labels, "toxic", mod, rest, per_class)), "score double")
             .select("doc_id", held_out(mod, rest).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
 
@@ -181,8 +212,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, m
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mod: int = MOD, rest: int = REST,
                   per_class: int = PER_CLASS) -> DataFrame:
     """The rows of docs, all columns as they are, whose score is below the threshold."""
-    weights, intercept = fit(docs, labels, "toxic", mod, rest, per_class)
-    score = scorer(weights.astype(np.float32), intercept)
+    score = scorer(*fit(docs, labels, "toxic", mod, rest, per_class))
 
     def make():
         work = score()
