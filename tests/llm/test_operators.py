@@ -126,6 +126,7 @@ def test_personal_data_adds_unseen_forms(spark):
     got = {r.doc_id: r.spans for r in out.collect()}
     assert all(got[k].startswith("phone:") for k in range(120))
     assert not any(got[k] for k in range(120, 240))
+    assert all(got[k].startswith("digits:") for k in range(240, 245))
 
 
 def test_packing(corpus, rows):

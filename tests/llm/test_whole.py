@@ -80,5 +80,72 @@ def test_rare_subwords_are_learnt():
     """A subword that marks 4 toxic documents has a weight, one that no document has does not."""
     from shelfwise.llm.toxicity import train
     rows = [(np.array([1, 2, *([5] if k < 4 else [])], np.int32), np.ones(3 if k < 4 else 2, np.int32), int(k < 4)) for k in range(40)]
-    weights, _ = train(rows)
-    assert weights[5] > 0 and weights[6] == 0
+    model = train(rows)
+    assert model.values()[5] > 0 and model.values()[6] == 0 and model.weight[5] > model.weight[1] > 0
+
+
+def test_toxicity_scores_by_a_slow_forward_pass(corpus, rows, labels):
+    """Weighted mean of all subword vectors of a document, then the softmax, against the scored column."""
+    from shelfwise.llm import toxicity as T
+    known = [(r.doc_id, r.toxic) for r in labels.collect() if r.toxic in (0, 1) and r.doc_id is not None and brute.fold(r.doc_id, 4) != 2]
+    lab = {d: max(y for e, y in known if e == d) for d, _ in known}
+    bags = []
+    for _, t in rows:
+        buckets, counts = T.bags()([(t or "").encode()])
+        bags.append(dict(zip(buckets[0].tolist(), counts[0].tolist())))
+    train = sorted(((d, b) for (d, _), b in zip(rows, bags) if d in lab), key=lambda x: x[0])
+    model = T.train([(np.array(list(b), np.int32), np.array(list(b.values()), np.int32), lab[d]) for d, b in train])
+    counts = np.bincount([y for _, y in known])
+    n = np.bincount([lab[d] for d, _ in train])
+    shift = np.log(counts[1] / counts[0]) - np.log(n[1] / n[0])
+    want = {}
+    for (d, _), b in zip(rows, bags):
+        w = [model.weight[k] * c for k, c in b.items()]
+        mean = sum((x * model.embed[k].astype(float) for x, k in zip(w, b)), np.zeros(T.DIM)) / sum(w) if sum(w) else np.zeros(T.DIM)
+        logit = T.SCALE * mean @ model.soft.astype(float) + model.bias
+        want.setdefault(d, []).append(1 / (1 + np.exp(-(logit[1] - logit[0] + shift))))
+    got = {}
+    for r in T.toxicity(corpus, labels).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    assert all(np.allclose(sorted(got[d]), sorted(want[d]), atol=2e-3) for d in want)
+
+
+def test_quality_scores_by_explicit_pairs():
+    """The sum-of-squares identity against the sum over all pairs of features."""
+    from shelfwise.llm import quality as Q
+    from shelfwise.llm.common import WordTable
+    rng = np.random.default_rng(8)
+    edges = np.sort(rng.random((len(Q.STATS), Q.BINS - 1)), axis=1)
+    w, v = rng.normal(0, 1, Q.WIDTH), rng.normal(0, 0.5, (Q.WIDTH, Q.RANK))
+    texts, sizes = [b"one two two three.\n\none", b"", "é ☃ word ".encode() * 9, b"%%% ###"], [22, None, 5, 0]
+    got = Q.scorer(edges, 0.1, w, v)()(texts, sizes)[0]
+    bounds, hashed, value, stats = Q.featurise(texts, sizes, WordTable(), [np.zeros(0, np.int64)])
+    idx, val = Q._design([hashed[a:b] for a, b in zip(bounds[:-1], bounds[1:])], [value[a:b] for a, b in zip(bounds[:-1], bounds[1:])], Q.binned(stats, edges))
+    for score, i, x in zip(got, idx, val):
+        s = 0.1 + sum(w[a] * p for a, p in zip(i, x))
+        s += sum((v[i[a]] @ v[i[b]]) * x[a] * x[b] for a in range(len(i)) for b in range(a))
+        assert score == pytest.approx(1 / (1 + np.exp(-s)), abs=1e-9)
+
+
+def test_bands_do_not_depend_on_the_order_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    from shelfwise.llm.fertility import MEASURES, bands
+    rng = random.Random(9)
+    rows = [(rng.choice(["en", "de", "xx"]), "latin", *[rng.gauss(3, 1) for _ in MEASURES]) for _ in range(700)]
+    df = spark.createDataFrame(rows, "band string, script string, " + ", ".join(f"{m} double" for m in MEASURES))
+    out = [sorted(map(tuple, bands(x).collect())) for x in (df.repartition(7), df.orderBy(F.rand(3)).coalesce(1))]
+    assert out[0] == out[1] and {r[0] for r in out[0]} == {"en", "de", "xx"}
+
+
+def test_personal_data_finds_masked_forms(spark):
+    """Of phones without their plus sign nearly all are found, of plain numbers hardly any."""
+    from shelfwise.llm.pii import personal_data
+    rng = random.Random(2)
+    phone = lambda: f"1 ({rng.randint(200, 999)}) {rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
+    number = lambda a, b: str(rng.randint(10 ** a, 10 ** b))
+    texts = [f"some words here call +{phone()} today" for _ in range(200)] + [f"we said call {phone()} at noon" for _ in range(200)]
+    texts += [f"item {number(3, 4)}.{number(3, 4)}.{number(3, 4)} of {number(7, 9)} pieces" for _ in range(400)]
+    out = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(out[k].startswith("digits:") for k in range(200, 400)) >= 180
+    assert sum(bool(out[k]) for k in range(400, 800)) <= 2
