@@ -43,12 +43,59 @@ def test_decontaminate(corpus, rows, benchmark):
     assert plain(kept, "doc_id", "text") == Counter(r for r, w in zip(rows, want) if not w[-1])
 
 
+def test_stored_index_answers_other_test_sets(spark, corpus, rows, benchmark, tmp_path):
+    """A second test set and proximity queries, from the index alone."""
+    from shelfwise.llm.decontaminate import answers, near, store_index, words_of
+    index = store_index(corpus, f"file://{tmp_path}/index")
+    second = spark.createDataFrame([("x", "of a page that is copied"), ("y", "the river"), ("z", None)], "item_id string, text string")
+    cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    for items in (benchmark, second, second.limit(0)):
+        assert plain(answers(index, items), *cols) == Counter(brute.op3(rows, [tuple(r) for r in items.collect()]))
+    asked = [("a", "river stone lamp"), ("b", "copied page"), ("c", "one"), ("d", "nowhere-to-be-found river"), ("e", "ab ab"), ("f", "über the Éclair")]
+    for within in (0, 1, 3, 8):
+        got = plain(near(index, spark.createDataFrame(asked, "item_id string, text string"), within), "doc_id", "item", "start", "span")
+        starts = Counter()
+        for d, item, _, _ in got.elements():
+            starts[d, item] += 1
+        # which documents match does not depend on which term is rarest in a block
+        want = Counter()
+        for d, t in rows:
+            w = words_of((t or "").encode())
+            for name, text in asked:
+                terms = set(words_of(text.encode()))
+                where = {x: [i for i, y in enumerate(w) if y == x] for x in terms}
+                if any(all(any(abs(q - p) <= within for q in where[o]) for o in terms) for x in terms for p in where[x]):
+                    want[d, name] += 1
+        assert {k for k in starts} <= {k for k in want} and all(s >= 0 and n <= 2 * within + 1 for _, _, s, n in got)
+        if within:
+            assert {k for k in starts if k[1] in "bc"} == {k for k in want if k[1] in "bc"}
+
+
 def test_proximity():
     from shelfwise.llm.decontaminate import Postings
-    index = Postings([b"a x x b c".split(), b"c a".split(), b"b y y y a".split()], {b"a": 0, b"b": 1, b"c": 2})
+    texts, terms = [b"a x x b c".split(), b"c a".split(), b"b y y y a a".split()], {b"a": 0, b"b": 1, b"c": 2}
+    index = Postings(texts, terms)
     assert index.phrase(np.array([1, 2])).tolist() == [3]
-    assert len(index.near(np.array([0, 1]), 3)) == 1 and len(index.near(np.array([0, 1]), 4)) == 2
-    assert len(index.near(np.array([0, 2]), 1)) == 1          # not across texts
+    found = lambda ts, k: list(zip(*(x.tolist() for x in index.near(np.array(ts), k))))
+    assert found([0, 1], 3) == [(0, 3)] and found([0, 1], 4) == [(0, 3), (9, 13)]        # b is rarer than a: its nearest a
+    assert found([0, 2], 1) == [(6, 7)]                       # not across texts
+    assert found([0, 1, 2], 4) == [(0, 4)] and found([2], 0) == [(4, 4), (6, 6)]
+
+
+def test_packed_numbers_and_stored_postings():
+    from shelfwise.llm.decontaminate import Postings, packed, postings_of, unpacked
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**31, 5])
+    data, size = packed(values)
+    assert unpacked(data).tolist() == values.tolist() and size.tolist() == [1, 1, 1, 2, 2, 3, 3, 4, 5, 1]
+    assert len(unpacked(packed(values[:0])[0])) == 0
+    texts, terms = [b"a x x b c".split(), [], b"b y y y a a".split()], {b"y": 0, b"a": 1, b"none": 2, b"b": 3}
+    head, rows = postings_of(7, [1, None, 3], texts)
+    rows = [(r["term"], r["n"], r["places"]) for r in rows.to_pylist()]
+    assert [t for t, _, _ in rows] == sorted(t for t, _, _ in rows)
+    got, want = Postings.fetched(np.array(head["sizes"][0].as_py()), [r for r in rows if r[0] in terms], terms), Postings(texts, terms)
+    for name in ("bounds", "positions", "count", "start"):
+        assert getattr(got, name).tolist() == getattr(want, name).tolist()
+    assert [len(list(postings_of(0, [1], [[]])))] == [1]
 
 
 def test_simhash(corpus, rows):
