@@ -42,6 +42,8 @@ PRIOR, LEAST_WEIGHT = 1.0, 1e-3
 MOD, REST, THRESHOLD = 4, 2, 0.3
 #: Documents are long and the words that matter few, so means are small: they are scaled before the softmax.
 SCALE = 100.0
+#: Words whose subwords are taken at once.
+NEW_WORDS = 1 << 14
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|_-~`"
 
 
@@ -74,14 +76,18 @@ def bags():
     """Task-side function from texts to their subword buckets and counts."""
     def work(texts):
         split = [t.split() for t in texts]
-        known = WordTable()
-        ids = known.ids([w for words in split for w in words])
-        start, flat = subwords(known.new) if known.new else (np.zeros(1, np.int64), np.zeros(0, np.int64))
-        n = start[ids + 1] - start[ids]
-        first = bounds_of(n)
-        every = flat[np.repeat(start[ids] - first[:-1], n) + np.arange(first[-1])]
-        edges = first[bounds_of([len(w) for w in split])]
-        found = [np.unique(every[a:b], return_counts=True) for a, b in zip(edges[:-1], edges[1:])]
+        found = []
+        for words in split:                              # one text at a time: a word has some twenty subwords
+            known = WordTable()
+            times = np.bincount(known.ids(words), minlength=len(known))
+            buckets, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for at in range(0, len(known.new), NEW_WORDS):
+                start, flat = subwords(known.new[at:at + NEW_WORDS])
+                of = np.bincount(flat, weights=np.repeat(times[at:at + NEW_WORDS], np.diff(start)), minlength=BUCKETS)
+                some = np.nonzero(of)[0]
+                buckets, counts = np.concatenate([buckets, some]), np.concatenate([counts, of[some].astype(np.int64)])
+            x, where = np.unique(buckets, return_inverse=True)
+            found.append((x, np.bincount(where, weights=counts, minlength=len(x)).astype(np.int64)))
         return [[x.astype(np.int32) for x, _ in found], [x.astype(np.int32) for _, x in found]]
 
     return work
@@ -188,11 +194,12 @@ def scorer(values: np.ndarray, weights: np.ndarray, intercept: float):
             split = [t.split() for t in texts]
             bounds = bounds_of([len(w) for w in split])
             ids = known.ids([w for words in split for w in words])
-            if known.new:
-                start, flat = subwords(known.new)
-                known.new.clear()
-                value[0] = np.concatenate([value[0], sums(values[flat], start)])
-                mass[0] = np.concatenate([mass[0], sums(weights[flat], start)])
+            new = [(np.zeros(0), np.zeros(0))]
+            for at in range(0, len(known.new), NEW_WORDS):
+                start, flat = subwords(known.new[at:at + NEW_WORDS])
+                new.append((sums(values[flat], start), sums(weights[flat], start)))
+            known.new.clear()
+            value[0], mass[0] = (np.concatenate([old, *some]) for old, some in zip((value[0], mass[0]), zip(*new)))
             total, share = (np.add.reduceat(np.append(x[ids], 0.0), bounds[:-1]) * (np.diff(bounds) > 0) for x in (value[0], mass[0]))
             return [sigmoid(np.where(share > 0, total / np.maximum(share, 1e-9), 0.0) + intercept)]
 
