@@ -247,6 +247,22 @@ def test_repeated_bytes(corpus, rows):
     assert plain(repeated_bytes(corpus), *cols) == want
 
 
+def test_repeated_bytes_of_hot_anchors(spark, corpus, rows):
+    """A passage in every document, each with a beginning and an end of its own, so that its outer anchors have many kinds of run."""
+    from shelfwise.llm.radix import repeated_bytes
+    rng = random.Random(11)
+    word = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    passage, ends = word(30), [word(12) for _ in range(6)]
+    docs = [(k, f"{word(rng.randrange(4, 14))} {passage} {rng.choice(ends) if k % 3 else word(12)}") for k in range(300)]
+    docs += [(300, "ab" * 400), (301, "ba" * 300 + passage), (301, "x" * 49 + passage), (None, passage + word(9))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    want = Counter(brute.op10(docs))
+    for many in (1, 2, 32):
+        assert plain(repeated_bytes(df, shard_bytes=1 << 15, chunk=1 << 12, flush_bytes=1 << 13, many=many), *cols) == want
+    assert plain(repeated_bytes(corpus, shard_bytes=1 << 17, chunk=1 << 15, flush_bytes=1 << 16, many=2), *cols) == Counter(brute.op10(rows))
+
+
 def _auc(rows):
     good, bad = [s for s, y in rows if y], [s for s, y in rows if not y]
     return sum((a > b) + (a == b) / 2 for a in good for b in bad) / (len(good) * len(bad))

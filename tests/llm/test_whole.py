@@ -37,6 +37,31 @@ def test_runs_of_bytes_are_told_apart_by_64_bits():
     assert got == {(1, 1), (2, 1), (3, 0)}           # 1 and 2 go on, 3 repeats 1
 
 
+def run_blocks(radix, runs, many):
+    """(doc, kind, marks) that the group of one anchor gives for runs (doc, other, rest, span)."""
+    column = lambda *x: np.array(x, np.uint64)
+    blocks = [b for doc, other, rest, span in runs
+              for b in radix._emit(1, column(doc), column(0), column(9), column(other), column(0), column(span), column(rest))]
+    table = radix.equal_runs(50, many)(pa.Table.from_batches(list(radix._blocks(blocks))))
+    return {(r["doc"], r["kind"], tuple(np.frombuffer(r["marks"], "<u4").tolist())) for r in table.to_pylist()}
+
+
+def test_runs_that_agree_in_64_bits_are_told_apart():
+    from shelfwise.llm import radix
+    got = run_blocks(radix, [(1, 5, 1, 4), (2, 5, 2, 4), (3, 5, 1, 4), (4, 5, 2, 4)], 32)
+    assert got == {(1, 1, (0, 4)), (2, 1, (0, 4)), (3, 0, (0, 53)), (4, 0, (0, 53))}
+
+
+def test_hot_anchors():
+    """A notice (no span) makes an anchor hot, also for a run that is alone beside it; so do 64 times ``many`` kinds."""
+    from shelfwise.llm import radix
+    assert run_blocks(radix, [(7, 0, 0, 0), (1, 5, 1, 4)], 32) == {(1, 2, (0, 4))}
+    assert run_blocks(radix, [(7, 0, 0, 0), (8, 0, 0, 0)], 32) == set()
+    assert run_blocks(radix, [(1, 5, 1, 4)], 32) == set()
+    kinds = [(k, k + 1, 0, 4) for k in range(64)]
+    assert {k for _, k, _ in run_blocks(radix, kinds, 1)} == {2} and {k for _, k, _ in run_blocks(radix, kinds, 2)} == {1}
+
+
 def test_windows_of_one_hash_are_compared_by_bytes(monkeypatch):
     import zstandard
 
