@@ -58,6 +58,8 @@ SHARD_BYTES, CHUNK, FLUSH = 16 << 20, 1 << 20, 8 << 20
 SPREAD = 4
 #: Kinds of run under one anchor between two flushes from which it is hot, and windows of hot anchors merged at once.
 MANY, WINDOWS = 32, 1 << 18
+#: Tasks of a digit at most; beyond it a task takes several shards, one after the other.
+TASKS = 1 << 15
 #: A null doc_id is ordered last, as this number (which no document should have).
 LAST = (1 << 63) - 1
 MULT = 0x9E3779B97F4A7C15
@@ -204,7 +206,7 @@ def _runs(blobs: list[bytes]) -> list[np.ndarray]:
 
 
 #: Blocks hold runs; own blocks hold what a task finds by itself: heads a document, key and kind, body its marks.
-BLOCK, BLOCK_SQL = ["shard", "heads", "body", "own"], "shard long, heads binary, body binary, own boolean"
+BLOCK, BLOCK_SQL = ["shard", "heads", "body", "own"], "shard int, heads binary, body binary, own boolean"
 #: What is removed or goes on: kind 0, bytes from start on are removed; kind 1, the run's windows are spread in
 #: the anchor's group; kind 2, they are spread at once and sent one by one.
 FOUND, FOUND_SQL = ["doc", "key", "kind", "marks"], "doc long, key long, kind int, marks binary"
@@ -215,7 +217,7 @@ def _blocks(rows, own: bool = False):
     rows = list(rows)
     for at in range(0, len(rows), 1000):
         cols = list(zip(*rows[at:at + 1000]))
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()),
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()),
                                            pa.array([own] * len(cols[0]))], BLOCK)
 
 
@@ -517,13 +519,14 @@ def repeated_bytes(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, shard_
     src = documents(docs).select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("key"), "text")
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = parts_for(total, shard_bytes)
+    tasks = min(shards, TASKS)
     found = stored(src.mapInArrow(first_digit(depth, gram, shards, chunk, flush_bytes, many), BLOCK_SQL)
-                   .groupBy("shard").applyInArrow(equal_runs(depth, many), FOUND_SQL))
+                   .repartitionById(tasks, "shard").groupBy("shard").applyInArrow(equal_runs(depth, many), FOUND_SQL))
     more = found.filter("kind > 0").groupBy("doc", "key").agg(*[F.collect_list(F.when(F.col("kind") == k, F.col("marks"))).alias(f"marks{k}") for k in (1, 2)])
     # src is shuffled by document once: the second join reuses the exchange of the first
     spread = (src.join(more, ["doc", "key"])
               .mapInArrow(second_digit(depth, gram, SPREAD * shards, chunk), BLOCK_SQL)
-              .groupBy("shard").applyInArrow(equal_windows(depth), FOUND_SQL))
+              .repartitionById(tasks, "shard").groupBy("shard").applyInArrow(equal_windows(depth), FOUND_SQL))
     gone = (found.filter("kind = 0").unionByName(spread).groupBy("doc", "key").agg(F.collect_list("marks").alias("marks")))
     return (src.join(gone, ["doc", "key"], "left")
             .select(F.nullif("doc", F.lit(LAST)).alias("doc_id"), "text", "marks")
