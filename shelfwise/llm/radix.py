@@ -27,10 +27,10 @@ one anchor for each flush.
 
 Records travel as packed columns, one block for each task and shard; a task merges equal texts
 and equal runs of its own documents first, so a copied text or a common passage reaches a shard
-once per flush at most.  Runs are compared by 96 bits of XXH3 of their bytes (beside 32 bits of
-the anchor's hash): among n different runs of the whole input n * n / 2**97 pairs are expected to
-pass as equal (6e-11 for the 3e9 runs of 50 GB, 6e-4 for those of 160 TB), if nobody has written
-texts against that hash.  Windows are grouped by 64 bits and then compared byte by byte.  Texts
+once per flush at most.  Runs are compared by 80 bits of XXH3 of their bytes, and only runs with
+one anchor are: of m kinds under an anchor m * m / 2**81 pairs are expected to pass as equal if
+nobody has written texts against that hash (5e-9 in all for 3e9 anchors with 2,048 kinds each,
+beyond which an anchor is hot; 7e-8 for a hot one with 4e8).  Windows are grouped by 64 bits and then compared byte by byte.  Texts
 are joined by (doc_id, hash of the text), which no group of copies shares, and shuffled once.
 
 Defined cases: a null or empty text has 0 bytes and nothing removed; texts shorter than
@@ -160,10 +160,10 @@ def _steps(x: np.ndarray) -> np.ndarray:
 
 
 def _hashes(joined: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64 and 32 more bits of the hash of each stretch of bytes."""
+    """64 and 16 more bits of the hash of each stretch of bytes."""
     raw = b"".join([xxh3_128_digest(joined[a:b]) for a, b in zip(start.tolist(), end.tolist())])
     both = np.frombuffer(raw, np.uint64).reshape(-1, 2)
-    return both[:, 0], both[:, 1] & np.uint64(0xFFFFFFFF)
+    return both[:, 0], both[:, 1] & np.uint64(0xFFFF)
 
 
 def _emit(shards: int, doc, key, anchor, other, start, span, rest=None):
@@ -180,7 +180,7 @@ def _emit(shards: int, doc, key, anchor, other, start, span, rest=None):
         d, k = doc[a:b], key[a:b]
         first = np.nonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))[0]
         heads = _pack((_steps(d[first]), 8), (k[first], 8), (np.diff(np.append(first, b - a)), 4))
-        yield s, heads, _pack((anchor[a:b] // np.uint64(shards), 4), (other[a:b], 8), (_steps(start[a:b]), 4), (span[a:b], 1), (rest[a:b], 4))
+        yield s, heads, _pack((anchor[a:b] // np.uint64(shards), 4), (other[a:b], 8), (_steps(start[a:b]), 4), (span[a:b], 1), (rest[a:b], 2))
 
 
 def _heads(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,12 +197,12 @@ def _heads(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _runs(blobs: list[bytes]) -> list[np.ndarray]:
     """anchor, other, start, span, rest of the records of blocks."""
-    parts = [_unpack(b, 4, 8, 4, 1, 4) for b in blobs]
+    parts = [_unpack(b, 4, 8, 4, 1, 2) for b in blobs]
     if not parts:
         return [np.zeros(0, np.int64)] * 5
     start = np.concatenate([np.cumsum(p[2], dtype=np.uint64).astype(np.uint32) for p in parts])
     return [np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), start.astype(np.int64),
-            np.concatenate([p[3].astype(np.uint8) for p in parts]).astype(np.int64), np.concatenate([p[4].astype(np.uint32) for p in parts])]
+            np.concatenate([p[3].astype(np.uint8) for p in parts]).astype(np.int64), np.concatenate([p[4].astype(np.uint16) for p in parts])]
 
 
 #: Blocks hold runs; own blocks hold what a task finds by itself: heads a document, key and kind, body its marks.
