@@ -43,7 +43,8 @@ def lane_zone_days(t: Tables, day: Day, keys: DataFrame, lead_times: DataFrame)
     bounds = (keys.select(*KEY).join(lead_times.select(*LANE, "rt_days"), LANE, "left")
               .select(*KEY, rt.alias("rt_days"), F.date_sub(F.lit(day.d), rt * p.m_rt).alias("lo"), F.lit(day.prev).alias("hi")))
     longest = max(p.rt_days, lead_times.agg(F.max("rt_days").alias("most")).first().most or 0)     # older days are not read
-    rows = state_rows(t, day).filter(F.col("date").between(F.lit(day.minus(longest * p.m_rt)), F.lit(day.prev)))
+    since = day.minus(longest * p.m_rt)
+    rows = state_rows(t, day, since, day.prev).filter(F.col("date").between(F.lit(since), F.lit(day.prev)))
     days = within_bounds(state_of_days(rows), bounds).withColumn("zone", zone_of(F.col("bt"), F.col("stock")))
     zone = F.col("zone")
     return days.groupBy(*KEY, "rt_days").agg(
