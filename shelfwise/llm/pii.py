@@ -6,25 +6,27 @@ numbers (their lengths are bounded by the repeats in ``GENERATORS``, which only
 Each candidate has features of its format (length, digits, groups, separators, letters, a Luhn sum)
 and of its context (words before and after).
 
-What is learnt.  On at most ``SAMPLE`` documents, candidates that overlap a base span are positive.
+What is learnt.  In all documents, candidates that overlap a base span are positive.
 They all have the trait by which the base expression knows them, so each is also given once or
 twice with that trait masked before its features are taken (``MASKS``: the plus sign or the
 country number of a phone, the sign and the dots of an address).  A candidate without a base span
 is unlabelled, not negative: it is left out if its shape (letters and digits replaced by one
-letter each) is that of a masked positive, unless the sample has more than ``COMMON`` times as many
+letter each) is that of a masked positive, unless there are more than ``COMMON`` times as many
 such unlabelled candidates as masked ones.  All others are negative: numbers in plain contexts.
 
-Gradient boosted trees are fitted on two thirds of the sample's documents.  On the other third
-each generator gets its own least threshold at which ``PRECISION`` of its masked positives and
-negatives are positive; a generator without masked positives adds nothing.  Candidates that reach
-their generator's threshold and overlap no base span are added; base spans always stay.
+Candidates of one shape and the same features are one example with their number as its weight, so
+every candidate counts while examples stay few.  Gradient boosted trees are fitted on those of two
+thirds of the documents.  On the other third each generator gets its own least threshold, a multiple
+of 1 / ``STEPS``, at which ``PRECISION`` of its masked positives and negatives are positive; a
+generator without masked positives adds nothing.  Candidates that reach their generator's threshold
+and overlap no base span are added; base spans always stay.
 
 The trees become one column expression, and spans, features and scores live in arrays of their
-document's row, so nothing is shuffled but the sample.
+document's row, so nothing is shuffled but the examples, counted before they move.
 
-Defined cases: null and empty texts have no spans; without both classes of candidates in the
-sample, or without a threshold of that precision, nothing is added; rows are judged one by one,
-so repeated rows get the same result.
+Defined cases: null and empty texts have no spans; without both classes of candidates, or without a
+threshold of that precision, nothing is added; rows are judged one by one, so repeated rows get the
+same result.
 """
 
 from __future__ import annotations
@@ -34,9 +36,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import documents, stored
 
-#: Bound of the training sample: documents, and candidates of each.
-SAMPLE, EACH = 2000, 200
 TREES, DEPTH, PRECISION, COMMON = 20, 4, 0.98, 3
+#: Least number of candidates in a leaf, and steps of a threshold.
+LEAF, STEPS = 3, 10_000
 
 # Expressions of the base kinds.  \G and the look-behind only skip starts inside a run whose own start
 # would match as well, and possessive repeats never need to give back: the matches are the plain ones.
@@ -171,9 +173,8 @@ def with_spans(docs: DataFrame, keep: list[Column], learning: bool = False) -> D
     if not learning:
         return d.select(*names, F.transform("around", _features).alias("cands"))
     labelled = lambda masked: lambda x: F.struct(_features(x).alias("c"), shape(x["match"]).alias("shape"), F.lit(masked).alias("masked"))
-    some = F.slice("around", 1, EACH)
-    return d.select(*names, F.concat(F.transform(some, labelled(False)),
-                                     F.transform(F.flatten(F.transform(some, _masked)), labelled(True))).alias("cands"))
+    return d.select(*names, F.concat(F.transform("around", labelled(False)),
+                                     F.transform(F.flatten(F.transform("around", _masked)), labelled(True))).alias("cands"))
 
 
 def _tree(node, c: Column, names: list[str]) -> Column:
@@ -185,55 +186,60 @@ def _tree(node, c: Column, names: list[str]) -> Column:
         _tree(node.rightChild(), c, names))
 
 
-def examples(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """fold, c (candidate with features), masked and label of the candidates to learn from, of a bounded sample of documents."""
-    d = docs.withColumn("th", F.xxhash64("text"))
-    some = (d.filter(F.col("text").rlike(r"[0-9@]|[(\[]at[)\]]")).select(F.xxhash64("doc_id", "th").alias("order"), "doc_id", "th")
-            .orderBy("order", "doc_id", "th").limit(sample).select("doc_id", "th", F.pmod("order", F.lit(3)).alias("fold")).distinct())
-    # the sample is cut: what is derived of it must not be asked of all texts by a filter that moves below the join
-    texts = stored(d.join(F.broadcast(some), d.doc_id.eqNullSafe(some.doc_id) & (d.th == some.th)).select("text", "fold"))
-    rows = stored(with_spans(texts, [F.col("fold")], learning=True).select("fold", F.explode("cands").alias("x"))
-                  .select("fold", "x.c", "x.shape", "x.masked", F.col("x.c.kind").alias("gen"), F.col("x.c.known").alias("known")))
-    open_, masked = F.count_if(~F.col("known")), F.count_if(F.col("masked"))
-    like = rows.groupBy("gen", "shape").agg(open_.alias("open"), masked.alias("hidden")).filter(F.col("hidden") > 0)
+def examples(docs: DataFrame) -> DataFrame:
+    """fold, gen, masked, label, features and n: the candidates to learn from, of all documents, equal ones counted."""
+    fold = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(3))
+    d = docs.filter(F.col("text").rlike(r"[0-9@]|[(\[]at[)\]]")).withColumn("fold", fold)
+    # explode_outer: for explode, the optimiser would find all candidates once more to test for empty arrays
+    x = with_spans(d, [F.col("fold")], learning=True).select("fold", F.explode_outer("cands").alias("x")).filter("x is not null")
+    kinds = ["fold", "gen", "shape", "masked", "known"]
+    every = (x.select("fold", F.col("x.c.kind").alias("gen"), "x.shape", "x.masked", F.col("x.c.known").alias("known"),
+                      *[f"x.c.f_{n}" for n in FEATURES]))
+    rows = stored(every.groupBy(*kinds, *[f"f_{n}" for n in FEATURES]).agg(F.count("*").cast("double").alias("n")))
+    number = lambda of, name: F.sum(F.when(of, F.col("n")).otherwise(0.0)).alias(name)
+    like = rows.groupBy("gen", "shape").agg(number(~F.col("known"), "open"), number(F.col("masked"), "hidden")).filter(F.col("hidden") > 0)
     unsure = like.filter(F.col("open") <= COMMON * F.col("hidden")).select("gen", "shape").withColumn("unsure", F.lit(True))
+    label = F.col("known").cast("double").alias("label")
+    features = [f"f_{n}" for n in FEATURES]
     return (rows.join(unsure, ["gen", "shape"], "left").filter(F.col("known") | F.col("unsure").isNull())
-            .select("fold", "c", "gen", "masked", F.col("known").cast("double").alias("label")))
+            .select("fold", "gen", "masked", label, *features, "n")
+            .groupBy("fold", "gen", "masked", "label", *features).agg(F.sum("n").alias("n")))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE):
-    """(trees and weights, threshold of each generator by number) or None, learnt on the candidates of a bounded sample of
-    documents that hold digits or addresses."""
+def fit(docs: DataFrame):
+    """(trees and weights, threshold of each generator by number) or None, learnt on the candidates of all documents."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = stored(examples(docs, sample))
-    seen = {(r.held, r.label) for r in rows.select((F.col("fold") == 0).alias("held"), "label").distinct().collect()}
+    rows = stored(examples(docs))
+    seen = {(r.held, r.label): r.n for r in rows.groupBy((F.col("fold") == 0).alias("held"), "label").agg(F.sum("n").alias("n")).collect()}
     if len(seen) < 4:
         return None
-    names = list(FEATURES)
-    flat = rows.select("fold", "label", "gen", "masked", "c", *[F.col(f"c.f_{n}").alias(n) for n in names])
-    train = VectorAssembler(inputCols=names, outputCol="features").transform(flat.filter("fold <> 0")).select("features", "label")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=13, minInstancesPerNode=3).fit(train)
+    total = seen[False, 0.0] + seen[False, 1.0]
+    train = VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="features").transform(rows.filter("fold <> 0"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=13, weightCol="n",
+                          minWeightFractionPerNode=min(0.49, LEAF / total)).fit(train.select("features", "label", "n"))
     jvm = list(model._java_obj.trees())
     trees = [(t.rootNode(), float(w)) for t, w in zip(jvm, model.treeWeights)]
-    judged = flat.filter("fold = 0 and (masked or label = 0)")
-    scored = judged.select("gen", score(trees, F.col("c")).alias("s"), "label").collect()              # a bounded number of rows
+    judged = rows.filter("fold = 0 and (masked or label = 0)")
+    step = F.floor(score(trees, F.struct(*[f"f_{n}" for n in FEATURES])) * STEPS).alias("step")
+    scored = judged.groupBy("gen", step).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good")).collect()  # STEPS rows a generator at most
     limits = {}
     for kind in {r.gen for r in scored}:
-        limit = least_threshold([(r.s, int(r.label)) for r in scored if r.gen == kind])
+        limit = least_threshold([(r.step, r.n, r.good) for r in scored if r.gen == kind])
         if limit is not None:
-            limits[kind] = max(limit, 0.5)
+            limits[kind] = max(limit / STEPS, 0.5)
     return (trees, limits) if limits else None
 
 
-def least_threshold(scored: list[tuple[float, int]]) -> float | None:
-    """The least score from which on PRECISION of the rows are positive; None if there is none."""
-    scored, good, found = sorted(scored, reverse=True), 0, None
-    for n, (s, label) in enumerate(scored, 1):
-        good += label
-        if good and good >= PRECISION * n and (n == len(scored) or scored[n][0] < s):
-            found = s
+def least_threshold(scored: list[tuple[int, float, float]]) -> int | None:
+    """Of (step, rows, positive rows) the least step from which on PRECISION of the rows are positive; None if there is none."""
+    rows = good = 0.0
+    found = None
+    for step, n, positive in sorted(scored, reverse=True):
+        rows, good = rows + n, good + positive
+        if good and good >= PRECISION * rows:
+            found = step
     return found
 
 
@@ -245,10 +251,10 @@ def score(trees: list, c: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-2.0 * margin))
 
 
-def personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def personal_data(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the base spans), spans (base and added ones)."""
     src = documents(docs)
-    learnt = fit(src, sample)
+    learnt = fit(src)
     d = with_spans(src, [F.col("doc_id")])
     order = {k: n for n, k in enumerate((*BASE, *(n for n, _, _ in GENERATORS)))}
 
@@ -261,7 +267,7 @@ def personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     if learnt:
         trees, limits = learnt
         limit = lambda c: F.get(F.array(*[F.lit(float(limits.get(k, 2.0))) for k in range(len(GENERATORS))]), c["kind"])
-        passed = F.filter("cands", lambda c: ~c["known"] & c["kind"].isin(*limits) & (score(trees, c) >= limit(c)))
+        passed = F.filter("cands", lambda c: ~c["known"] & c["kind"].isin(*limits) & (F.floor(score(trees, c) * STEPS) >= F.round(limit(c) * STEPS)))
         added = F.transform(passed, lambda c: F.struct(c["start"].alias("start"), (c["kind"] + len(BASE)).alias("kind"), c["end"].alias("end")))
     listed = lambda spans: F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(
         ":", F.element_at(F.array(*map(F.lit, order)), s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
