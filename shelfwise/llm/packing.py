@@ -36,6 +36,8 @@ from shelfwise.llm.common import WordTable, bounds_of, documents, pieces, stored
 WINDOW, END = 2048, 1
 #: Bytes of text tokenised at once: new words are encoded in large lots.
 CHUNK = 4 << 20
+#: Words of letters encoded as one text.
+GROUP = 256
 VOCABULARY = "word_bpe_49k.json"
 #: Texts of these characters alone are lower-cased and parted at white space before the vocabulary sees them,
 #: which changes no id: the vocabulary lower-cases and drops white space itself, and these characters are
@@ -55,34 +57,40 @@ def tokenizer(path: str | None, name: str = VOCABULARY):
     last = np.zeros(tok.get_vocab_size(with_added_tokens=True), bool)      # tokens that end a run of letters
     last[[i for t, i in tok.get_vocab().items() if t.endswith("</w>")]] = True
     known = WordTable(600_000)
-    state = {"start": np.zeros(1, np.int64), "flat": np.zeros(0, np.int32)}
+    empty = {"start": np.zeros(0, np.int64), "size": np.zeros(0, np.int64), "flat": np.zeros(0, np.int32)}
+    state = dict(empty)
 
     def one_by_one(words: list[str]) -> list:
         return [x.ids for x in tok.encode_batch_fast(words, add_special_tokens=False)]
 
-    def learn(words: list[str]) -> list:
-        """Token ids of each word.  Words of letters alone are one run of letters each, so many are encoded as one
-        text and parted after tokens that end a word, at a fraction of the cost of a call for each."""
-        out, plain = [None] * len(words), [k for k, w in enumerate(words) if w.isalpha()]
-        groups = [plain[a:a + 64] for a in range(0, len(plain), 64)]
+    def learn(words: list[str]) -> None:
+        """Add the words' token ids to the state.  Words of letters alone are one run of letters each, so many are
+        encoded as one text and parted after tokens that end a word, at a fraction of the cost of a call for each."""
+        start, size, flat, at = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [state["flat"]], len(state["flat"])
+        plain, rest = [], []
+        for k, w in enumerate(words):
+            (plain if w.isalpha() else rest).append(k)
+        groups = [plain[a:a + GROUP] for a in range(0, len(plain), GROUP)]
         for group, x in zip(groups, tok.encode_batch_fast([" ".join([words[k] for k in g]) for g in groups], add_special_tokens=False)):
-            ids = x.ids
-            ends = (np.nonzero(last[ids])[0] + 1).tolist()
+            ids = np.array(x.ids, np.int32)
+            ends = np.nonzero(last[ids])[0] + 1
             if len(ends) == len(group) and ends[-1] == len(ids):
-                found = [ids[a:b] for a, b in zip([0, *ends], ends)]
+                n = np.diff(ends, prepend=0)
+                size[group], start[group] = n, at + ends - n
+                flat.append(ids)
+                at += len(ids)
             else:
-                found = one_by_one([words[k] for k in group])
-            for k, i in zip(group, found):
-                out[k] = i
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, i in zip(rest, one_by_one([words[k] for k in rest])):
-            out[k] = i
-        return out
+                rest += group
+        found = one_by_one([words[k] for k in rest])
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        size[rest], start[rest] = n, at + np.cumsum(n) - n
+        flat.append(np.fromiter(chain.from_iterable(found), np.int32))
+        state.update(start=np.concatenate([state["start"], start]), size=np.concatenate([state["size"], size]), flat=np.concatenate(flat))
 
     def encode(texts: list[bytes]):
         if known.full():
             known.clear()
-            state.update(start=np.zeros(1, np.int64), flat=np.zeros(0, np.int32))
+            state.update(empty)
         split = []
         for t in texts:
             t = t.decode("utf-8", "replace")
@@ -90,14 +98,11 @@ def tokenizer(path: str | None, name: str = VOCABULARY):
         bounds = bounds_of([len(w) for w in split])
         ids = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, bounds[-1])
         if known.new:
-            new = learn(known.new)
+            learn(known.new)
             known.new.clear()
-            state["start"] = np.concatenate([state["start"], state["start"][-1] + np.cumsum([len(x) for x in new])])
-            state["flat"] = np.concatenate([state["flat"], np.fromiter(chain.from_iterable(new), np.int32)])
-        start = state["start"]
-        n = start[ids + 1] - start[ids]
+        start, n = state["start"][ids], state["size"][ids]
         first = bounds_of(n)
-        return first[bounds], state["flat"][np.repeat(start[ids] - first[:-1], n) + np.arange(first[-1])]
+        return first[bounds], state["flat"][np.repeat(start - first[:-1], n) + np.arange(first[-1])]
 
     return encode
 

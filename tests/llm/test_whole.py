@@ -174,3 +174,24 @@ def test_personal_data_finds_masked_forms(spark):
     out = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert sum(out[k].startswith("digits:") for k in range(200, 400)) >= 180
     assert sum(bool(out[k]) for k in range(400, 800)) <= 2
+
+
+def test_personal_data_learns_from_every_candidate(spark):
+    """All documents and all their candidates are examples: no sample of 2000 documents, no 200 candidates of each."""
+    from pyspark.sql import functions as F
+    from shelfwise.llm.pii import examples
+    rows = [(k, f"number {10 ** 9 + k} here") for k in range(2100)] + [(2100, " ".join(f"no {10 ** 9 + k} x" for k in range(250)))]
+    out = examples(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.agg(F.sum("n")).first()[0] == 2100 + 250
+
+
+def test_token_ids_of_new_words_in_later_texts():
+    """Words learnt in many lots, alone or together, keep their ids."""
+    import public_tokenizers
+    from shelfwise.llm.packing import tokenizer
+    from tokenizers import Tokenizer
+    tok, encode = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), tokenizer(None)
+    for lot in (1, 2, 1):
+        texts = [" ".join(f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100]} {k * lot} don't." for k in range(700)), "", "Émile 東京 end."]
+        bounds, flat = encode([t.encode() for t in texts])
+        assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
