@@ -64,3 +64,29 @@ def test_only_narrow_tables_are_stored(spark, tagged, tmp_path, monkeypatch):
     stored = {d: spark.read.parquet(f"{p}/{d}").count() for p, dirs, _ in os.walk(f"{tmp_path}/kept") for d in dirs if d in ("sales_tags", "tags")}
     assert {d for p, dirs, files in os.walk(f"{tmp_path}/kept") if any(f.endswith(".parquet") for f in files) for d in [os.path.basename(p)]} == {"sales_tags", "tags"}
     assert stored == {"sales_tags": 200, "tags": 20} and t.stocks.count() == 2 * 20 * 36
+
+
+def test_sales_are_joined_a_lot_of_orders_at_a_time(spark, tmp_path, monkeypatch):
+    """All of lineitem was moved by order and by supplier at once, and both moves were on the disk until the write ended."""
+    spark.createDataFrame([(k, k % 5) for k in range(25)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/in/nation.parquet")
+    spark.range(30).selectExpr("id c_custkey", "cast(id % 25 as int) c_nationkey").write.parquet(f"{tmp_path}/in/customer.parquet")
+    spark.range(9).selectExpr("id s_suppkey", "cast(id % 25 as int) s_nationkey").write.parquet(f"{tmp_path}/in/supplier.parquet")
+    # keys that come twice, null keys, orders without customer, lines without order or supplier
+    spark.range(100).selectExpr("nullif(id % 90, 7) o_orderkey", "nullif(id % 40, 3) o_custkey").write.parquet(f"{tmp_path}/in/orders.parquet")
+    spark.range(500).selectExpr("nullif(id % 110, 9) l_orderkey", "id % 20 l_partkey", "nullif(id % 11, 4) l_suppkey", "cast(id % 7 as int) l_linenumber",
+                                "2D l_quantity", "cast(id as double) l_extendedprice", "timestamp_ntz'1998-06-20 00:00:00' l_shipdate").write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    monkeypatch.setattr("shelfwise.session.ensure_checkpoint_dir", lambda _: f"{tmp_path}/kept")
+    monkeypatch.setattr(fixtures, "LOT_ROWS", 100)
+    one_go, sizes = fixtures.sales_tags, []
+
+    def counted(*args):
+        df = one_go(*args)
+        sizes.append(df.count())
+        return df
+
+    monkeypatch.setattr(fixtures, "sales_tags", counted)
+    fixtures.stored_fixture_tables(spark, f"{tmp_path}/in")
+    kept = next(f"{p}/sales_tags" for p, dirs, _ in os.walk(f"{tmp_path}/kept") if "sales_tags" in dirs)
+    want = one_go(spark, f"{tmp_path}/in")
+    assert plain(spark.read.parquet(kept)) == plain(want)
+    assert len(sizes) == 5 and sum(sizes) == want.count() > 0 and max(sizes) < sum(sizes) / 2
