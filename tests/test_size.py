@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.current import upsert
 from shelfwise.operators.report import latest_state
+from shelfwise.operators.runs import stock_runs
 from shelfwise.params import DEFAULT_PARAMS, Day
 from shelfwise.schema import BUFFER_MAIN, CURRENT_KEY
 from shelfwise.sources.fixtures import TASKS_OF_HISTORY, active_days
@@ -80,3 +81,23 @@ def test_latest_state_takes_the_last_day_then_buffer_then_stock(spark):
     t = Tables(sales=None, stocks=None, article_mp=None, warehouses=None, buffer_main=rows, buffer_supplies=None)
     got = {r.sku: (r.buffer_cluster, r.quantity_stocks) for r in latest_state(t, day, before=D).select(*CURRENT_KEY, "buffer_cluster", "quantity_stocks").collect()}
     assert got == {"a": (11, 1), "b": (6, 4)}
+
+
+def test_stock_days_are_not_moved_by_warehouse(spark):
+    """The join with the list of warehouses moved every stock day, although they lie together by article."""
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    key = "mp string, seller string, sku string, article_1c string, code_1c string"
+    rows = [(D, "WB", "S0", f"k{i}", f"A{i % 5}", "C", w, 5, 5, 5) for i in range(40) for w in ("W-1", "W-2", None, "W-none")]
+    stocks = table(rows, f"date date, {key}, warehouse_name string, quantity bigint, quantityFree bigint, quantityFull bigint").repartition(16, "article_1c")
+    t = Tables(sales=None, stocks=stocks, article_mp=None, buffer_main=None, buffer_supplies=None,
+               warehouses=table([("WB", "W-1", "R1"), ("WB", "W-1", "R1"), ("WB", "W-2", "R2"), ("WB", None, "R3")], "mp string, warehouse_name string, cluster string"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = stock_runs(t, Day(D))
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.sku, r.cluster_to, r.quantity_stocks) for r in runs.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2       # the table's own, and that of the distinct warehouses
+    assert got == sorted((f"k{i}", c, n) for i in range(40) for c, n in (("R1", 5), ("R2", 5), ("", 10)))
