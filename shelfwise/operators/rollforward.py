@@ -43,14 +43,15 @@ def service_markers(bt: F.Column, stock: F.Column, in_transit: F.Column, within_
 def roll_forward(t: Tables, day: Day, calc_keys: DataFrame, routes=ROUTES) -> DataFrame:
     """State rows of day D for the routed existing keys; keeps ``calc_type``."""
     p = day.p
+    # the key list may hold every key there is: it is moved once, by KEY, which serves the distinct rows and the join
     rk = (route_keys(calc_keys, day, *routes)
-          .select(*KEY, "calc_type", "action_suggested", "min_buffer").distinct())
-    keys = rk.select(*KEY).distinct()
+          .select(*KEY, "calc_type", "action_suggested", "min_buffer").repartition(*KEY).distinct())
     prev = (state_on(t, day, day.prev)
             .select(*KEY, *CARRIED, "buffer_cluster", "quantity_stocks", "quantity_orders", "new_buffer")
             .join(rk, KEY, "inner"))
-    sup = supply_windows(t, day, keys)
-    orders_d = (t.sales.filter(F.col("date") == F.lit(day.d)).join(keys, KEY, "left_semi")
+    # open shipments and the day's orders are fewer than the keys: a join with the list would only move it again
+    sup = supply_windows(t, day)
+    orders_d = (t.sales.filter(F.col("date") == F.lit(day.d))
                 .groupBy(*KEY).agg(F.sum("quantity_orders").alias("orders_d")))
     df = fill_defaults(prev.join(sup, KEY, "left").join(orders_d, KEY, "left"),
                        {"quantity_supplies_arrive": 0, "quantity_supplies": 0,

@@ -3,14 +3,20 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.functions.semantics import materialize
+from shelfwise.operators import report
 from shelfwise.operators.current import upsert
+from shelfwise.operators.demand import calendar_demand
 from shelfwise.operators.report import latest_state
+from shelfwise.operators.rollforward import roll_forward
 from shelfwise.operators.runs import stock_runs
+from shelfwise.operators.zones import day_state
 from shelfwise.params import DEFAULT_PARAMS, Day
-from shelfwise.schema import BUFFER_MAIN, CURRENT_KEY
-from shelfwise.sources.fixtures import TASKS_OF_HISTORY, active_days
+from shelfwise.schema import BUFFER_MAIN, CURRENT_KEY, KEY
+from shelfwise.sources.fixtures import AS_OF, TASKS_OF_HISTORY, active_days, fixture_tables
 from shelfwise.sources.state import StateStore
 from shelfwise.sources.tables import Tables
 
@@ -101,3 +107,33 @@ def test_stock_days_are_not_moved_by_warehouse(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") == 2       # the table's own, and that of the distinct warehouses
     assert got == sorted((f"k{i}", c, n) for i in range(40) for c, n in (("R1", 5), ("R2", 5), ("", 10)))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows = [(AS_OF - dt.timedelta(days=back), a, r, m, m % 2, r, 1 + back % 7, 10.0 + back, 1)
+            for a in (1, 2, 7, 8, 17, 19) for r, m in ((0, 0), (1, 1), (3, 2), (4, 1), (None, 2)) for back in (-3, 0, 0, 5, 16, 30, 31)]
+    return fixture_tables(spark.createDataFrame(rows, "date date, a int, r int, m int, s int, src_region int, quantity_orders bigint, "
+                                                      "l_extendedprice double, l_linenumber int").cache())
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_roll_forward_reads_the_key_list_once(spark, tables, no_broadcast):
+    """The list of keys was moved for its distinct rows, for the join, and again for the shipments and the day's orders."""
+    day = Day(AS_OF)
+    listed = spark.createDataFrame(tables.buffer_calc_keys.collect() * 2, tables.buffer_calc_keys.schema)
+    got = roll_forward(tables, day, listed)
+    assert sum("Scan ExistingRDD" in x and "action_suggested" in x for x in plan_of(got).splitlines()) == 1
+    once = roll_forward(tables, day, tables.buffer_calc_keys)
+    assert got.count() > 0 and sorted(map(str, got.collect())) == sorted(map(str, once.collect()))
