@@ -137,3 +137,19 @@ def test_roll_forward_reads_the_key_list_once(spark, tables, no_broadcast):
     assert sum("Scan ExistingRDD" in x and "action_suggested" in x for x in plan_of(got).splitlines()) == 1
     once = roll_forward(tables, day, tables.buffer_calc_keys)
     assert got.count() > 0 and sorted(map(str, got.collect())) == sorted(map(str, once.collect()))
+
+
+def test_window_stock_is_not_kept_by_the_report(tables, monkeypatch):
+    """All stock days of the window were kept for the report's parts, though one part alone reads the days before D."""
+    kept = []
+    monkeypatch.setattr(report, "materialize", lambda df: kept.append(df.columns) or df)
+    assert report.Report(tables, Day(AS_OF)).mean_demand_excl().count() > 0
+    assert len(kept) == 1 and "cluster_from" in kept[0]       # the orders
+
+
+def test_supplies_of_given_items(tables):
+    """The report moved the goods and headers of every key; it needs those of its own items."""
+    r = report.Report(tables, Day(AS_OF), cut=False)
+    items = tables.goods_supplies.filter(F.col("article_1c").isin("A1", "A7")).select("mp", "seller", "article_1c", "code_1c")
+    every = r.supplies_by_cluster()
+    assert sorted(map(str, r.supplies_by_cluster(items).collect())) == sorted(map(str, every.filter(F.col("article_1c").isin("A1", "A7")).collect()))
