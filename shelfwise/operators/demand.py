@@ -41,13 +41,16 @@ def daily_sales(t: Tables, day: Day, keys: DataFrame, lo, hi, hi_inclusive=False
 
 
 def calendar_demand(t: Tables, day: Day, keys: DataFrame) -> DataFrame:
-    """Dense daily demand: keys x window days, zero where nothing was sold."""
-    cal = keys.select(*KEY, F.explode(F.sequence(F.lit(day.window_start),
-                                                 F.lit(day.window_end))).alias("date"))
-    sold = daily_sales(t, day, keys, day.window_start, day.window_end, hi_inclusive=True)
-    return (cal.join(sold.select("date", *KEY, "quantity_orders"), ["date", *KEY], "left")
+    """Dense daily demand: keys x window days, zero where nothing was sold.
+
+    A key's sold days are joined as one map of at most window_days entries, so the calendar's days are not moved.
+    """
+    sold = (daily_sales(t, day, keys, day.window_start, day.window_end, hi_inclusive=True)
+            .groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("date", "quantity_orders"))).alias("by_day")))
+    return (keys.select(*KEY).join(sold, KEY, "left")
+            .select(F.explode(F.sequence(F.lit(day.window_start), F.lit(day.window_end))).alias("date"), *KEY, "by_day")
             .select("date", *KEY,
-                    F.coalesce(F.col("quantity_orders"), F.lit(0)).cast("double").alias("qty")))
+                    F.coalesce(F.try_element_at("by_day", F.col("date")), F.lit(0)).cast("double").alias("qty")))
 
 
 def _targets(df: DataFrame, day: Day) -> DataFrame:

@@ -153,3 +153,18 @@ def test_supplies_of_given_items(tables):
     items = tables.goods_supplies.filter(F.col("article_1c").isin("A1", "A7")).select("mp", "seller", "article_1c", "code_1c")
     every = r.supplies_by_cluster()
     assert sorted(map(str, r.supplies_by_cluster(items).collect())) == sorted(map(str, every.filter(F.col("article_1c").isin("A1", "A7")).collect()))
+
+
+def test_calendar_days_are_not_moved(spark, tables, no_broadcast):
+    """Each key's 28 days were moved by day and key to join the days on which it was sold."""
+    day, keys = Day(AS_OF), tables.buffer_calc_keys.select(*KEY)
+    got = calendar_demand(tables, day, keys)
+    generate = plan_of(got).index("Generate")
+    assert "Exchange" not in plan_of(got)[:generate]          # nothing moves after the days are made
+    sold = {}
+    for r in tables.sales.collect():
+        k = tuple(r[c] for c in KEY)
+        sold[r.date, k] = sold.get((r.date, k), 0.0) + r.quantity_orders
+    want = [(d, k, sold.get((d, k), 0.0) if None not in k else 0.0) for k in map(tuple, keys.collect())
+            for d in (AS_OF - dt.timedelta(days=b) for b in range(1, 29))]
+    assert sorted(((r.date, tuple(r[c] for c in KEY), r.qty) for r in got.collect()), key=str) == sorted(want, key=str)
