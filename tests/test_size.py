@@ -155,6 +155,16 @@ def test_supplies_of_given_items(tables):
     assert sorted(map(str, r.supplies_by_cluster(items).collect())) == sorted(map(str, every.filter(F.col("article_1c").isin("A1", "A7")).collect()))
 
 
+def test_state_days_are_moved_once(spark, no_broadcast):
+    """The join with the keys had moved the window's state rows by KEY already when they were moved by KEY again."""
+    rows = state(spark, [(D - dt.timedelta(days=k), f"k{i}", 5 + k, k) for i in range(9) for k in (1, 2, 2, 28, 29)])
+    rows = rows.withColumn("code_1c", F.concat(F.lit("C"), "sku"))       # a fixed column would be dropped from the keys
+    t = Tables(sales=None, stocks=None, article_mp=None, warehouses=None, buffer_main=rows, buffer_supplies=None)
+    got = day_state(t, Day(D), rows.filter("sku != 'k0'").select(*KEY).distinct())
+    assert plan_of(got).count("Exchange hashpartitioning") == 2       # the rows' and the keys'
+    assert sorted((r.sku, (D - r.date).days, r.bt, r.available) for r in got.collect()) == [(f"k{i}", k, 5 + k, k) for i in range(1, 9) for k in (1, 2, 28)]
+
+
 def test_calendar_days_are_not_moved(spark, tables, no_broadcast):
     """Each key's 28 days were moved by day and key to join the days on which it was sold."""
     day, keys = Day(AS_OF), tables.buffer_calc_keys.select(*KEY)
