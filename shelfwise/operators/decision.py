@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.semantics import fill_defaults, safe_div
+from shelfwise.functions.semantics import fill_defaults, materialize, safe_div
 from shelfwise.operators.demand import demand_target_sparse
 from shelfwise.operators.keys import candidate_keys, key_history, prev_state, supply_windows
 from shelfwise.operators.zones import day_zones, zone_summary
@@ -38,9 +38,7 @@ def decision_inputs(t: Tables, day: Day, demand=demand_target_sparse, keys: Data
     if keys is None:
         keys = candidate_keys(t, day)
         if cut:
-            from shelfwise.session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(keys.sparkSession)
-            keys = keys.checkpoint(eager=True)
+            keys = materialize(keys)
     zones = zone_summary(day_zones(t, day, keys), day)
     within = supply_windows(t, day, keys).select(*KEY, "quantity_supplies_within_rt")
     df = (keys

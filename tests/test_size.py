@@ -129,6 +129,14 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cut_leaves_no_shuffle_files(spark):
+    """The shuffle files of a cut stayed until the driver collected its garbage (daily_main, daily_supplies)."""
+    before = shuffle_files(spark)
+    cut = materialize(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    assert shuffle_files(spark) <= before
+    assert {r.k: r["count"] for r in cut.collect()} == {k: 15 if k < 2 else 14 for k in range(7)}
+
+
 def test_roll_forward_reads_the_key_list_once(spark, tables, no_broadcast):
     """The list of keys was moved for its distinct rows, for the join, and again for the shipments and the day's orders."""
     day = Day(AS_OF)
