@@ -195,3 +195,25 @@ def test_token_ids_of_new_words_in_later_texts():
         texts = [" ".join(f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100]} {k * lot} don't." for k in range(700)), "", "Émile 東京 end."]
         bounds, flat = encode([t.encode() for t in texts])
         assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_line_runs_are_named_to_their_full_depth(spark):
+    """Suffixes were named for the least run alone; now until no two have one name (against all pairs of suffixes)."""
+    from shelfwise.llm.linededup import copies, later_runs
+    rng = random.Random(5)
+    page = [f"line {rng.randrange(30)}" for _ in range(43)]
+    texts = [page, ["start"] + page + ["end"], page[:20] + ["own"] + page[7:40], ["x"] * 9, ["alone", "again"], page + page[:2], []]
+    lines = dict(enumerate(texts))
+    rows = (spark.createDataFrame([(k, "\n\n".join(t)) for k, t in lines.items()], "doc long, text string")
+            .selectExpr("doc", "xxhash64(text) as key", "text"))
+    want, suffixes = {}, sorted((k, p) for k, t in lines.items() for p in range(len(t)))
+    for i, (d, p) in enumerate(suffixes):
+        for e, q in suffixes[:i]:
+            n = next((n for n, (x, y) in enumerate(zip(lines[d][p:], lines[e][q:])) if x != y), min(len(lines[d]) - p, len(lines[e]) - q))
+            want[d, p] = max(want.get((d, p), 0), n)
+    got = {}
+    for r in copies(rows).collect():
+        got.setdefault((r.doc, r.p), []).append(r.n)
+    depths = lambda n: [h + 1 for h in (1, 2, 4, 8, 16, 32, 64) if h + 1 <= n]
+    assert {k: sorted(v) for k, v in got.items()} == {k: depths(n) for k, n in want.items() if n > 1}
+    assert {(r.doc, x.p, x.n) for r in later_runs(rows).collect() for x in r.runs} >= {(1, 1, 43), (3, 1, 8), (5, 0, 45)}
