@@ -186,3 +186,41 @@ def test_calendar_days_are_not_moved(spark, tables, no_broadcast):
     want = [(d, k, sold.get((d, k), 0.0) if None not in k else 0.0) for k in map(tuple, keys.collect())
             for d in (AS_OF - dt.timedelta(days=b) for b in range(1, 29))]
     assert sorted(((r.date, tuple(r[c] for c in KEY), r.qty) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_kept_table_is_not_moved_where_it_is_written_again(spark, tmp_path, no_broadcast):
+    """The table of the latest rows was moved as a whole before each write, although it lay in the buckets it is written in."""
+    def work():
+        store = StateStore(spark, str(tmp_path))
+        store.replace_day("buffer_current", state(spark, [(D, f"k{i}", i, 1) for i in range(50)]), DEFAULT_PARAMS.id_ver, D)
+        kept = store.bucketed("buffer_current", DEFAULT_PARAMS.id_ver, D)
+        nameless = state(spark, [(D, None, 3, 3), (D, None, 4, 4)])
+        new = upsert(kept, state(spark, [(D + dt.timedelta(days=1), "k1", 7, 7), (D, "k2", 9, 9), (D, "k3", 1, 1), (D, "new", 5, 5)]))
+        out = new.repartition(store.buckets, *CURRENT_KEY)
+        rows = {r.sku: r.buffer_cluster for r in out.collect()}
+        final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        odd = upsert(nameless, state(spark, [(D, None, 1, 1), (D, "a", 1, 1)]))
+        return final.count("Exchange hashpartitioning"), rows, sorted((str(r.sku), r.buffer_cluster) for r in odd.collect())
+    exchanges, rows, odd = with_partitions(spark, 24, work)
+    assert exchanges == 1                                # the day's rows alone
+    assert rows == {**{f"k{i}": i for i in range(50)}, "k1": 7, "k2": 9, "k3": 3, "new": 5}
+    assert odd == [("None", 1), ("None", 3), ("None", 4), ("a", 1)]
+
+
+def test_article_list_is_made_once(spark, no_broadcast):
+    """Each reader of the article list made its items anew from the tags of all keys: an exchange for each of its three parts."""
+    from shelfwise.operators.keys import valid_articles
+    from shelfwise.sources.fixtures import stored_fixture_tables
+    t = stored_fixture_tables(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in plan_of(t.article_mp)
+    assert t.article_mp.count() == t.article_mp.select("article_1c", "sku", "seller", "mp", "brand", "volume_m3").distinct().count()
+    assert valid_articles(t, Day(AS_OF)).count() > 0
+
+
+def test_sales_lie_by_date_in_their_files(spark):
+    """A reader of some days opened every page of the stored sales."""
+    from shelfwise.sources.fixtures import stored_fixture_tables
+    t = stored_fixture_tables(spark, "/root/testdata/sf0.001")
+    path = t.sales.inputFiles()[0]
+    dates = [r.date for r in spark.read.parquet(path).collect() if r.date]
+    assert len(dates) > 100 and dates == sorted(dates)
