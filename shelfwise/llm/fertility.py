@@ -63,10 +63,12 @@ def script_table() -> tuple[list[str], np.ndarray]:
     return names, out
 
 
-def scripts_of(joined: bytes, doc: np.ndarray, n: int, names: list[str], by_point: np.ndarray) -> list[str]:
-    """Script of most letters of each text ("none" without letters); ``doc``: the text of each code point."""
-    kind = by_point[np.frombuffer(joined.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)]
-    count = np.bincount(doc * len(names) + kind, minlength=n * len(names)).reshape(n, len(names))
+def scripts_of(texts: list[bytes], names: list[str], by_point: np.ndarray) -> list[str]:
+    """Script of most letters of each text ("none" without letters); bytes that are no UTF-8 are no letters."""
+    decoded = [t.decode("utf-8", "replace") for t in texts]
+    doc = np.repeat(np.arange(len(texts)), [len(x) for x in decoded])
+    kind = by_point[np.frombuffer("".join(decoded).encode("utf-32-le"), np.uint32)]
+    count = np.bincount(doc * len(names) + kind, minlength=len(texts) * len(names)).reshape(len(texts), len(names))
     count[:, 0] = 0                                             # "none" wins only without letters
     return [names[k] for k in count.argmax(axis=1)]
 
@@ -172,7 +174,7 @@ def measure(folder: str | None):
         word_bytes = np.array([len(r) for r in raw]) - blanks
         return [np.diff(bounds), word_chars, sums(SYMBOLS[joined].astype(np.int64), tb),
                 np.array([repeated_lines(t) for t in texts]), repeated_words(ids, bounds),
-                pa.array(scripts_of(b"".join(texts), np.repeat(np.arange(len(texts)), points), len(texts), names, by_point)),
+                pa.array(scripts_of(texts, names, by_point)),
                 np.where(total > 0, word_chars / nz, 0.0), sums(voc.is_byte[tokens].astype(np.int64), edges) / nz, entropy,
                 np.where(level > 0, word_bytes / np.maximum(level, 1), 0.0)]
 
@@ -225,7 +227,7 @@ def quality_rules(docs: DataFrame, folder: str | None = None, width: float = WID
     edges = stored(bands(seen.filter(~F.col("base_failed")), width, least))
     if edges.count() <= FEW_BANDS:      # else a join that shuffles, with a language's rows split where they are skewed
         edges = F.broadcast(edges)
-    scatter = F.greatest(F.lit(1.0), F.sqrt(STEADY_WORDS / F.col("n_words")))
+    scatter = F.greatest(F.lit(1.0), F.sqrt(STEADY_WORDS / F.greatest("n_words", F.lit(1))))      # a text may have no words
     outside = F.lit(False)
     for m in MEASURES:
         off = F.col(m) - F.col(f"{m}_mid")

@@ -217,3 +217,25 @@ def test_line_runs_are_named_to_their_full_depth(spark):
     depths = lambda n: [h + 1 for h in (1, 2, 4, 8, 16, 32, 64) if h + 1 <= n]
     assert {k: sorted(v) for k, v in got.items()} == {k: depths(n) for k, n in want.items() if n > 1}
     assert {(r.doc, x.p, x.n) for r in later_runs(rows).collect() for x in r.runs} >= {(1, 1, 43), (3, 1, 8), (5, 0, 45)}
+
+
+def test_fertility_of_broken_texts(spark):
+    """Bytes that are no UTF-8 ended the job with an error: they were counted in two ways, and a text could take up the next one's first bytes."""
+    from pyspark.sql import functions as F
+
+    from shelfwise.llm.fertility import quality_rules
+    texts = [b"\x80\x80 abc", b"ab \xe2\x82", b"\xac tail", "где".encode(), b"", b"\xff\xfe"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, raw binary").coalesce(1)
+    out = quality_rules(rows.select("doc_id", F.col("raw").cast("string").alias("text")))
+    got = {r.doc_id: (r.n_words, r.script) for r in out.collect()}
+    assert got == {0: (2, "latin"), 1: (2, "latin"), 2: (2, "latin"), 3: (1, "cyrillic"), 4: (0, "none"), 5: (1, got[5][1])}
+
+
+def test_fertility_of_a_text_without_words_in_a_band_without_letters(spark):
+    """An empty text was divided by its number of words where texts without letters have a band: the job ended with an error."""
+    from shelfwise.llm.fertility import quality_rules
+    rng = random.Random(2)
+    rows = [(k, " ".join(str(rng.randrange(10**6)) for _ in range(40)), "en") for k in range(60)] + [(100, "", "en"), (101, None, "en"), (102, " \n", "en")]
+    out = {r.doc_id: (r.n_words, r.base_failed, r.kept) for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [out[k] for k in (100, 101, 102)] == [(0, True, False)] * 3
+    assert all(out[k] == (40, False, True) for k in range(60))
